@@ -17,74 +17,92 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import materialize
+
 WINDOW = 8
 MIN_LITERALS = 4
 MIN_SHARE = 0.4
 #: Largest estimated size of the benchmark's windows that is broadcast; beyond it the join shuffles both sides.
-BROADCAST_ROWS = 200_000
+BROADCAST_ROWS = 50_000
 
 # Number words and units.
 NUMBER_WORDS = "zero one two three four five six seven eight nine ten eleven twelve thirteen fourteen fifteen sixteen seventeen eighteen nineteen twenty thirty forty fifty sixty seventy eighty ninety hundred thousand million billion".split()
 UNITS = "% $ € £ ° mm cm m km mg g kg t ml l s sec secs second seconds min mins minute minutes h hr hrs hour hours day days week weeks month months year years inch inches foot feet yard yards mile miles ounce ounces pound pounds gallon gallons liter liters litre litres meter meters metre metres gram grams kilogram kilograms dollar dollars euro euros cent cents percent degree degrees mph kmh".split()
 
-_TOKEN = r"[0-9]+(?:[.,:][0-9]+)*|[\p{L}\p{M}]+|[.!?\n]|[%$€£°]"
+_NUMBER = r"[0-9]+(?:[.,:][0-9]+)*"
+_LETTERS = r"[\p{L}\p{M}]+"
+_SIGNS = "[%$€£°]"
+#: A capitalised word after a word or comma and one space, that is, inside a sentence.
+_NAME = r"\p{Lu}(?<=[\p{L}\p{N},;:] .)[\p{L}\p{M}]+"
+_UNIT = "(" + _NUMBER + ")( ?)(?:" + "|".join(sorted((u for u in UNITS if u.isalpha()), key=lambda u: (-len(u), u))) + r")(?![\p{L}\p{M}])"
+_SIGN_UNIT = "(" + _NUMBER + ")( ?)" + _SIGNS
+_NUMBER_WORD = r"(?<![\p{L}\p{M}])(?:" + "|".join(NUMBER_WORDS) + r")(?![\p{L}\p{M}])"
+
+
+def canonical(text: Column) -> Column:
+    """The template's tokens. Every replacement leaves one token in the place of one, so they align with raw_tokens."""
+    t = F.lower(F.regexp_replace(text, _NAME, "#name"))
+    for pattern, by in ((_UNIT, "#num$2#unit"), (_SIGN_UNIT, "#num$2#unit"), (_NUMBER, "#num"), (_NUMBER_WORD, "#num")):
+        t = F.regexp_replace(t, pattern, by)
+    return F.regexp_extract_all(t, F.lit(f"#[a-z]+|{_LETTERS}|{_SIGNS}"), F.lit(0))
 
 
-def tokens(text: Column) -> Column:
-    """Structs (c, r) of the canonical and the raw token, in order."""
-    raw = F.regexp_extract_all(text, F.lit(_TOKEN), F.lit(0))
+def raw_tokens(text: Column) -> Column:
+    return F.regexp_extract_all(F.lower(text), F.lit(f"{_NUMBER}|{_LETTERS}|{_SIGNS}"), F.lit(0))
 
-    def struct(x: Column, i: Column) -> Column:
-        low = F.lower(x)
-        head = F.substring(x, 1, 1)
-        before = F.get(F.col("__raw"), i - 1)
-        is_num = head.between("0", "9")
-        canonical = (
-            F.when(is_num, F.lit("#num"))
-            .when(low.isin(NUMBER_WORDS), F.lit("#num"))
-            .when(low.isin(UNITS) & F.substring(before, 1, 1).between("0", "9"), F.lit("#unit"))
-            .when((low != x) & (F.char_length(x) > 1) & ~F.coalesce(before, F.lit(".")).isin(".", "!", "?", "\n"), F.lit("#name"))
-            .otherwise(low)
-        )
-        return F.struct(canonical.alias("c"), low.alias("r"))
 
-    return raw, struct
+def _pair(i: Column) -> Column:
+    return F.xxhash64(F.get("__c", i), F.get("__c", i + 1))
 
 
-def windows(rows: DataFrame, keys: list[str], window: int) -> DataFrame:
-    """(keys, n, h, pos, slots): n windows in the row; h: the template's hash; slots: raw values, null if there are none."""
-    raw, struct = tokens(F.col("__text"))
-    t = rows.select(*keys, F.coalesce(F.col("__text").cast("string"), F.lit("")).alias("__text")).select(*keys, raw.alias("__raw"))
-    t = t.select(*keys, F.filter(F.transform("__raw", struct), lambda s: ~s["r"].isin(".", "!", "?", "\n")).alias("__tok"))
-    t = t.select(*keys, F.transform("__tok", lambda s: s["c"]).alias("__c"), F.transform("__tok", lambda s: s["r"]).alias("__r")).where(F.size("__c") > 0)
-    count = F.greatest(F.size("__c") - window + 1, F.lit(1))
-    t = t.select(*keys, "__c", "__r", count.alias("n"))
+def windows(rows: DataFrame, keys: list[str], window: int, heads: list[int] | None = None) -> DataFrame:
+    """(keys, h, head, pos): the hash of every window and of its first two tokens. heads: only windows that begin so."""
+    t = rows.select(*keys, canonical(F.coalesce(F.col("__text").cast("string"), F.lit(""))).alias("__c"))
+    # Element access is constant-time; slice() would copy the whole array for every window. No filter on the array here:
+    # pushed down, it would evaluate the tokens inside lambdas, once an element.
+    starts = F.sequence(F.lit(0), F.greatest(F.size("__c") - window, F.lit(0)))
+    if heads is not None:
+        starts = F.filter(starts, lambda i: _pair(i).isin(heads))
 
     def one(i: Column) -> Column:
-        own, values = F.slice("__c", i + 1, window), F.slice("__r", i + 1, window)
-        slots = F.filter(own, lambda c: c.startswith("#"))
-        of = F.filter(values, lambda v, j: F.get(own, j).startswith("#"))
-        return F.struct(F.xxhash64(own).alias("h"), i.alias("pos"), F.when(F.size(slots) > 0, of).alias("slots"))
+        return F.struct(F.xxhash64(*[F.get("__c", i + j) for j in range(window)]).alias("h"), _pair(i).alias("head"), i.alias("pos"))
 
-    exploded = t.select(*keys, "n", F.explode(F.transform(F.sequence(F.lit(0), F.col("n") - 1), one)).alias("w"))
-    return exploded.select(*keys, "n", "w.h", "w.pos", "w.slots")
+    return t.select(*keys, F.explode(F.when(F.size("__c") > 0, F.transform(starts, one))).alias("w")).select(*keys, "w.*")
+
+
+def item_windows(benchmark: DataFrame, window: int) -> DataFrame:
+    """(item_id, h, head, item_pos, slots): slots: (j, value) of the window's replaced tokens; null if there are none."""
+    rows = benchmark.select("item_id", F.col("text").alias("__text"))
+    found = windows(rows.select("item_id", F.struct("item_id", "__text").alias("__k"), "__text"), ["item_id", "__k"], window)
+    text = F.col("__k.__text")
+    found = found.select("item_id", "h", "head", F.col("pos").alias("item_pos"), canonical(text).alias("c"), raw_tokens(text).alias("r"))
+    at = F.filter(F.sequence(F.lit(0), F.lit(window - 1)), lambda j: F.coalesce(F.get("c", F.col("item_pos") + j).startswith("#"), F.lit(False)))
+    slots = F.transform(at, lambda j: F.struct(j.alias("j"), F.get("r", F.col("item_pos") + j).alias("v")))
+    return found.select("item_id", "h", "head", "item_pos", F.when(F.size(slots) > 0, slots).alias("slots")).distinct()
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, min_share: float = MIN_SHARE, min_literals: int = MIN_LITERALS, id_col: str = "doc_id") -> DataFrame:
     """(id, text_key, item_id, item_windows, matched_windows, verbatim_windows, n_slots): an item found in a document."""
-    items = windows(benchmark.select(F.col("item_id"), F.col("text").alias("__text")), ["item_id"], window)
-    items = items.where(window - F.coalesce(F.size("slots"), F.lit(0)) >= min_literals)
-    totals = items.groupBy("item_id").agg(F.countDistinct("pos").alias("item_windows"))
-    items = items.select("item_id", "h", F.col("pos").alias("item_pos"), F.col("slots").alias("item_slots")).distinct()
-    if items.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
+    items = materialize(item_windows(benchmark, window).where(window - F.coalesce(F.size("slots"), F.lit(0)) >= min_literals))
+    totals = items.groupBy("item_id").agg(F.countDistinct("item_pos").alias("item_windows"))
+    heads = None
+    if items.count() <= BROADCAST_ROWS:
+        # Bounded: the windows' first pairs go along as a set, so that few windows of documents are built and joined.
+        heads = [r[0] for r in items.select("head").distinct().collect()]
         items = F.broadcast(items)
-    own = docs.select(F.col(id_col).alias("__id"), F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit(""))).alias("__key"), F.col("text").alias("__text"))
-    hits = windows(own, ["__id", "__key"], window).join(items, "h").select("__id", "__key", "item_id", "item_pos", "item_slots", "slots").distinct()
-    verbatim = F.coalesce(F.col("item_slots") == F.col("slots"), F.col("slots").isNull() & F.col("item_slots").isNull())
-    hits = hits.select("*", verbatim.alias("verbatim"))
+    key = F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")))
+    own = docs.select(F.col(id_col).alias("__id"), key.alias("__key"), F.col("text").alias("__text"))
+    hits = windows(own, ["__id", "__key"], window, heads).join(items.drop("head"), "h").select("__id", "__key", "item_id", "item_pos", "pos", F.col("slots").alias("item_slots")).distinct()
+    hits = materialize(hits)
+    # Slot values are fetched for windows that have slots only.
+    slotted = hits.where(F.col("item_slots").isNotNull())
+    raw = own.withColumnsRenamed({"__id": "__i", "__key": "__k"}).join(slotted.select(F.col("__id").alias("__x"), F.col("__key").alias("__y")).distinct(), F.col("__i").eqNullSafe(F.col("__x")) & (F.col("__k") == F.col("__y")), "left_semi").select("__i", "__k", raw_tokens(F.col("__text")).alias("__r"))
+    valued = slotted.join(raw, F.col("__id").eqNullSafe(F.col("__i")) & (F.col("__key") == F.col("__k"))).select("__id", "__key", "item_id", "item_pos", F.transform("item_slots", lambda s: F.struct(s["v"].alias("a"), F.get("__r", F.col("pos") + s["j"]).alias("b"))).alias("pairs"))
+    valued = valued.distinct().select("*", F.forall("pairs", lambda p: F.coalesce(p["a"] == p["b"], F.lit(False))).alias("verbatim"))
     group = ["__id", "__key", "item_id"]
-    slots = hits.where(~F.col("verbatim")).select(*group, F.explode(F.arrays_zip(F.col("item_slots").alias("a"), F.col("slots").alias("b"))).alias("s")).groupBy(*group).agg(F.countDistinct("s.a").alias("n_slots"), F.countDistinct("s").alias("n_pairs"))
-    counts = hits.groupBy(*group).agg(F.countDistinct("item_pos").alias("all_windows"), F.countDistinct(F.when(F.col("verbatim"), F.col("item_pos"))).alias("verbatim_windows"))
+    slots = valued.where(~F.col("verbatim")).select(*group, F.explode("pairs").alias("s")).groupBy(*group).agg(F.countDistinct("s.a").alias("n_slots"), F.countDistinct("s").alias("n_pairs"))
+    judged = hits.where(F.col("item_slots").isNull()).select(*group, "item_pos", F.lit(True).alias("verbatim")).unionByName(valued.select(*group, "item_pos", "verbatim"))
+    counts = judged.groupBy(*group).agg(F.countDistinct("item_pos").alias("all_windows"), F.countDistinct(F.when(F.col("verbatim"), F.col("item_pos"))).alias("verbatim_windows"))
     same = [F.col(f"x.{c}").eqNullSafe(F.col(f"y.{c}")) for c in group]
     merged = counts.alias("x").join(slots.alias("y"), same[0] & same[1] & same[2], "left").select("x.*", F.coalesce("y.n_slots", F.lit(0)).alias("n_slots"), F.coalesce("y.n_pairs", F.lit(0)).alias("n_pairs"))
     merged = merged.withColumn("matched_windows", F.when(F.col("n_pairs") == F.col("n_slots"), F.col("all_windows")).otherwise(F.col("verbatim_windows")))

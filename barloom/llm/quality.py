@@ -87,7 +87,9 @@ def ledger(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
     bits = F.lit(0).cast("long")
     for r in RULES:
         bits = bits + F.when(F.expr(r.fails), F.lit(BIT[r.name])).otherwise(F.lit(0)).cast("long")
-    return measured.select("*", bits.alias("failure_bits"))
+    # The condition always holds. It keeps filters on the bits from being pushed below, where every measurement would be
+    # evaluated again, and inside lambdas once an element.
+    return measured.select("*", F.when(F.monotonically_increasing_id() >= 0, bits).alias("failure_bits"))
 
 
 def keeps(policy: Policy, bits: Column | str = "failure_bits") -> Column:

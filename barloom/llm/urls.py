@@ -14,11 +14,11 @@ empty host; ties of rules are broken by length, then name; an empty label table
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import materialize
+
 #: (rule, verdict): host suffix and path prefix. The longest that fits wins.
 RULES = (("com/en/", "block"), ("example.com/en/7", "allow"), ("net/de/", "block"), ("example.net/de/8", "block"), ("org/es/", "block"))
 DEPTH = 4
@@ -59,7 +59,7 @@ def templates(urls: DataFrame, depth: int = DEPTH, min_share: float = 0.01, z: f
 
     urls: (host, segs, labelled, good) as counts n, labelled, good by distinct (host, segs).
     """
-    table = urls.select("host", "segs", "n", "labelled", "good", F.array().cast("array<string>").alias("template"))
+    table = materialize(urls).select("host", "segs", "n", "labelled", "good", F.array().cast("array<string>").alias("template"))
     for level in range(depth + 1):
         here = F.coalesce(F.get("segs", F.lit(level)), F.lit(""))
         table = table.withColumn("seg", here)
@@ -73,6 +73,7 @@ def templates(urls: DataFrame, depth: int = DEPTH, min_share: float = 0.01, z: f
         merged = F.when(F.col("seg") == "", "").when(F.col("seg").contains("{n}") | F.col("seg").startswith("{*"), F.col("seg")).when(rare | alike, "{*}").otherwise(F.col("seg"))
         names = branch.join(parent, ["host", "template"]).select("host", "template", "seg", merged.alias("as"))
         table = table.join(names, ["host", "template", "seg"]).withColumn("template", F.when(F.col("as") == "", F.col("template")).otherwise(F.concat("template", F.array("as")))).drop("as", "seg")
+        table = materialize(table)  # the next level reads it three times
     return table
 
 
