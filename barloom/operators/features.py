@@ -13,12 +13,33 @@ from pyspark.sql import functions as F
 from ..functions.catalog import BARS_PER_YEAR
 
 ANNUAL = math.sqrt(BARS_PER_YEAR)
-W = Window.partitionBy("symbol").orderBy("time")
-C, O, H, L, V = F.col("close"), F.col("open"), F.col("high"), F.col("low"), F.col("tick_volume")
+def W():
+    return Window.partitionBy("symbol").orderBy("time")
+
+
+
+def C() -> Column:
+    return F.col("close")
+
+
+def O() -> Column:
+    return F.col("open")
+
+
+def H() -> Column:
+    return F.col("high")
+
+
+def L() -> Column:
+    return F.col("low")
+
+
+def V() -> Column:
+    return F.col("tick_volume")
 
 
 def R(n: int):
-    return W.rowsBetween(-(n - 1), 0)
+    return W().rowsBetween(-(n - 1), 0)
 
 
 def full(agg: Column, col: Column | str, n: int) -> Column:
@@ -27,7 +48,7 @@ def full(agg: Column, col: Column | str, n: int) -> Column:
 
 
 def before(c: Column | str) -> Column:
-    return F.lag(c).over(W)
+    return F.lag(c).over(W())
 
 
 def add(bars: DataFrame, *groups: dict[str, Column]) -> DataFrame:
@@ -38,13 +59,13 @@ def add(bars: DataFrame, *groups: dict[str, Column]) -> DataFrame:
 
 def returns() -> dict[str, Column]:
     p = before("close")
-    simple = F.when(p.isNull() | (p == 0), 0.0).otherwise(F.try_divide(C - p, p))
-    log = F.when(p.isNull() | (p <= 0) | (C <= 0), 0.0).otherwise(F.ln(F.try_divide(C, p)))
-    return {"returns": simple, "log_return": log, "price_change": C - p}
+    simple = F.when(p.isNull() | (p == 0), 0.0).otherwise(F.try_divide(C() - p, p))
+    log = F.when(p.isNull() | (p <= 0) | (C() <= 0), 0.0).otherwise(F.ln(F.try_divide(C(), p)))
+    return {"returns": simple, "log_return": log, "price_change": C() - p}
 
 
 def candle_shape() -> dict[str, Column]:
-    return {"high_low_range": H - L, "high_low_pct": F.try_divide(H - L, C) * 100, "body": C - O, "body_pct": F.try_divide(C - O, C) * 100, "upper_shadow": F.greatest(O, C) - H, "lower_shadow": L - F.least(O, C)}
+    return {"high_low_range": H() - L(), "high_low_pct": F.try_divide(H() - L(), C()) * 100, "body": C() - O(), "body_pct": F.try_divide(C() - O(), C()) * 100, "upper_shadow": F.greatest(O(), C()) - H(), "lower_shadow": L() - F.least(O(), C())}
 
 
 def sma_family(spans=(20, 50, 100, 200)) -> dict[str, Column]:
@@ -57,7 +78,7 @@ def sma_slopes(spans=(20, 50, 100, 200)) -> dict[str, Column]:
 
 def rsi_sma(n: int = 14) -> list[dict[str, Column]]:
     """Plain rolling means instead of Wilder's smoothing; two levels."""
-    d = C - before("close")
+    d = C() - before("close")
     gain, loss = full(F.avg("__up"), "__up", n), full(F.avg("__down"), "__down", n)
     return [{"__up": F.when(d.isNotNull(), F.greatest(d, F.lit(0.0))), "__down": F.when(d.isNotNull(), F.greatest(-d, F.lit(0.0)))}, {f"rsi_sma_{n}": F.when(loss == 0, 100.0).otherwise(100 - 100 / (1 + F.try_divide(gain, loss)))}]
 
@@ -68,17 +89,17 @@ def bollinger(spans=(20, 30), widths=(2, 3)) -> dict[str, Column]:
         mid, std = full(F.avg("close"), "close", n), full(F.stddev_samp("close"), "close", n)
         for k in widths:
             up, low = mid + k * std, mid - k * std
-            out |= {f"bb_upper_{n}_{k}": up, f"bb_lower_{n}_{k}": low, f"bb_width_{n}_{k}": up - low, f"bb_position_{n}_{k}": F.try_divide(C - low, up - low)}
+            out |= {f"bb_upper_{n}_{k}": up, f"bb_lower_{n}_{k}": low, f"bb_width_{n}_{k}": up - low, f"bb_position_{n}_{k}": F.try_divide(C() - low, up - low)}
     return out
 
 
 def atr(spans=(14, 21)) -> list[dict[str, Column]]:
     p = before("close")
-    return [{"__tr": F.greatest(H - L, F.abs(H - p), F.abs(L - p))}, {f"atr_{n}": full(F.avg("__tr"), "__tr", n) for n in spans}]
+    return [{"__tr": F.greatest(H() - L(), F.abs(H() - p), F.abs(L() - p))}, {f"atr_{n}": full(F.avg("__tr"), "__tr", n) for n in spans}]
 
 
 def stochastic(spans=(14, 21)) -> list[dict[str, Column]]:
-    k = {f"stoch_k_{n}": F.try_divide(100 * (C - full(F.min("low"), "low", n)), full(F.max("high"), "high", n) - full(F.min("low"), "low", n)) for n in spans}
+    k = {f"stoch_k_{n}": F.try_divide(100 * (C() - full(F.min("low"), "low", n)), full(F.max("high"), "high", n) - full(F.min("low"), "low", n)) for n in spans}
     return [k, {f"stoch_d_{n}": full(F.avg(f"stoch_k_{n}"), f"stoch_k_{n}", 3) for n in spans}]
 
 
@@ -87,16 +108,16 @@ def volatility(spans=(10, 20, 30)) -> dict[str, Column]:
 
 
 def parkinson(n: int = 20) -> list[dict[str, Column]]:
-    return [{"__hl": F.pow(F.ln(F.try_divide(H, L)), 2)}, {"parkinson_vol": F.sqrt(full(F.avg("__hl"), "__hl", n) / (4 * math.log(2))) * ANNUAL}]
+    return [{"__hl": F.pow(F.ln(F.try_divide(H(), L())), 2)}, {"parkinson_vol": F.sqrt(full(F.avg("__hl"), "__hl", n) / (4 * math.log(2))) * ANNUAL}]
 
 
 def volume_features(n: int = 20) -> dict[str, Column]:
     mean = full(F.avg("tick_volume"), "tick_volume", n)
-    return {"volume_sma_20": mean, "volume_ratio": F.try_divide(V, mean), "volume_change": F.try_divide(V - before("tick_volume"), before("tick_volume"))}
+    return {"volume_sma_20": mean, "volume_ratio": F.try_divide(V(), mean), "volume_change": F.try_divide(V() - before("tick_volume"), before("tick_volume"))}
 
 
 def vwap(n: int = 20) -> list[dict[str, Column]]:
-    return [{"__cv": C * V}, {"vwap": F.try_divide(full(F.sum("__cv"), "__cv", n), full(F.sum("tick_volume"), "tick_volume", n))}, {"price_to_vwap": F.try_divide(C, F.col("vwap"))}]
+    return [{"__cv": C() * V()}, {"vwap": F.try_divide(full(F.sum("__cv"), "__cv", n), full(F.sum("tick_volume"), "tick_volume", n))}, {"price_to_vwap": F.try_divide(C(), F.col("vwap"))}]
 
 
 def calendar_features() -> dict[str, Column]:
@@ -119,10 +140,10 @@ def session_features() -> dict[str, Column]:
 def structure_patterns() -> dict[str, Column]:
     flag = lambda c: F.coalesce(c, F.lit(False)).cast("int")
     ph, pl, po, pc = before("high"), before("low"), before("open"), before("close")
-    body, pbody = C - O, pc - po
+    body, pbody = C() - O(), pc - po
     return {
-        "higher_high": flag(ph < H), "lower_low": flag(pl > L), "higher_low": flag(pl < L), "lower_high": flag(ph > H), "doji": flag(F.abs(F.try_divide(body, C) * 100) < 0.1),
-        "bullish_engulfing": flag((body > 0) & (pbody < 0) & (pc > O) & (po < C)), "bearish_engulfing": flag((body < 0) & (pbody > 0) & (pc < O) & (po > C)),
+        "higher_high": flag(ph < H()), "lower_low": flag(pl > L()), "higher_low": flag(pl < L()), "lower_high": flag(ph > H()), "doji": flag(F.abs(F.try_divide(body, C()) * 100) < 0.1),
+        "bullish_engulfing": flag((body > 0) & (pbody < 0) & (pc > O()) & (po < C())), "bearish_engulfing": flag((body < 0) & (pbody > 0) & (pc < O()) & (po > C())),
     }
 
 

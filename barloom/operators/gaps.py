@@ -8,7 +8,9 @@ from pyspark.sql import functions as F
 from ..functions.catalog import MARKETS
 from .sessions import gap_in_hours
 
-W = Window.partitionBy("symbol").orderBy("time")
+def W():
+    return Window.partitionBy("symbol").orderBy("time")
+
 
 
 def minutes(a, b):
@@ -18,7 +20,7 @@ def minutes(a, b):
 def detect_gaps(bars: DataFrame, market: str = "US500", threshold: float | None = None, imputable_up_to: int = 30) -> DataFrame:
     """(symbol, gap_start, gap_end, gap_minutes, market_hours, gap_type, reason); the threshold is exceeded strictly."""
     limit = MARKETS[market]["gap_minutes"] if threshold is None else threshold
-    g = bars.select("symbol", F.lag("time").over(W).alias("gap_start"), F.col("time").alias("gap_end"))
+    g = bars.select("symbol", F.lag("time").over(W()).alias("gap_start"), F.col("time").alias("gap_end"))
     g = g.withColumn("m", minutes(F.col("gap_start"), F.col("gap_end"))).where(F.col("m") > limit)
     g = g.select("symbol", "gap_start", "gap_end", F.floor("m").cast("long").alias("gap_minutes"), gap_in_hours(F.col("gap_start"), F.col("gap_end"), market).alias("market_hours"))
     kind = F.when(~F.col("market_hours"), "ignored").when(F.col("gap_minutes") <= imputable_up_to, "imputable").otherwise("not_imputable")
@@ -65,7 +67,7 @@ def bridge_fill(bars: DataFrame, step_minutes: int = 5, max_minutes: int = 30, n
     market None: any gap of at most max_minutes is filled.
     """
     cols = ("open", "high", "low", "close")
-    g = bars.select("symbol", "time", *cols, "spread", *[F.lag(c).over(W).alias(f"p_{c}") for c in ("time", *cols, "spread")])
+    g = bars.select("symbol", "time", *cols, "spread", *[F.lag(c).over(W()).alias(f"p_{c}") for c in ("time", *cols, "spread")])
     gap = minutes(F.col("p_time"), F.col("time"))
     limit = threshold if threshold is not None else MARKETS[market]["gap_minutes"] if market else step_minutes
     g = g.where((gap > limit) & (F.floor(gap) <= max_minutes) & (gap_in_hours(F.col("p_time"), F.col("time"), market) if market else F.lit(True)))
@@ -115,5 +117,5 @@ def imputation_quality(before: DataFrame, after: DataFrame) -> DataFrame:
 
 def neighbour_interval(bars: DataFrame) -> DataFrame:
     """mean_interval: mean of up to five intervals before and after each bar, in minutes."""
-    d = bars.withColumn("__d", minutes(F.col("time"), F.lead("time").over(W)))
-    return d.withColumn("mean_interval", F.avg("__d").over(W.rowsBetween(-5, 4))).drop("__d")
+    d = bars.withColumn("__d", minutes(F.col("time"), F.lead("time").over(W())))
+    return d.withColumn("mean_interval", F.avg("__d").over(W().rowsBetween(-5, 4))).drop("__d")

@@ -10,7 +10,9 @@ from .gaps import islands
 from .lineage import category_of
 from .sessions import checklist_hours, local, minutes_since_previous
 
-W = Window.partitionBy("symbol").orderBy("time")
+def W():
+    return Window.partitionBy("symbol").orderBy("time")
+
 
 
 def r(c: Column, n: int = 6) -> Column:
@@ -92,9 +94,9 @@ def volume_integrity(bars: DataFrame, z: float = 5.0) -> DataFrame:
 
 
 def price_continuity(bars: DataFrame) -> DataFrame:
-    p = F.lag("close").over(W)
+    p = F.lag("close").over(W())
     ret = pct_change("close")
-    t = bars.select("symbol", "time", F.abs(F.try_divide(F.col("open") - p, p)).alias("jump"), ret.alias("ret")).withColumn("ret1", F.lag("ret").over(W))
+    t = bars.select("symbol", "time", F.abs(F.try_divide(F.col("open") - p, p)).alias("jump"), ret.alias("ret")).withColumn("ret1", F.lag("ret").over(W()))
     return t.groupBy("symbol").agg(F.count_if(F.col("jump") > 0.02).alias("over_2pct"), F.count_if(F.col("jump") > 0.05).alias("over_5pct"), r(F.max("jump"), 4).alias("max_jump"), r(F.avg("jump"), 4).alias("mean_jump"), r(F.corr("ret", "ret1"), 4).alias("autocorrelation"), (F.count_if(F.col("jump") > 0.05) == 0).alias("passed"))
 
 

@@ -11,11 +11,13 @@ import math
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.lineage_cut import materialize
+
 
 def linear_scan(df: DataFrame, a: float, b: str, out: str, keys: tuple[str, ...] = ("symbol",), time: str = "time") -> DataFrame:
-    """df needs a column `__rn`: the row's number (from 1) by time within its keys. b must not be null."""
+    """Reads df twice, so its lineage is cut first. df needs a column `__rn`: the row's number (from 1) by time within its keys. b must not be null."""
     block = math.ceil(48 / -math.log(a))
-    t = df.withColumns({"__b": F.floor((F.col("__rn") - 1) / block), "__i": (F.col("__rn") - 1) % block})
+    t = materialize(df).withColumns({"__b": F.floor((F.col("__rn") - 1) / block), "__i": (F.col("__rn") - 1) % block})
     w = Window.partitionBy(*keys, "__b").orderBy("__rn").rowsBetween(Window.unboundedPreceding, 0)
     t = t.withColumn("__y", F.sum(F.col(b) * F.pow(F.lit(a), -F.col("__i"))).over(w) * F.pow(F.lit(a), F.col("__i")))
     ends = t.groupBy(*keys, "__b").agg(F.max_by("__y", "__rn").alias("__e"))

@@ -67,13 +67,13 @@ def rounds(cols: list[str], n: int = 6) -> str:
     return ", ".join(f"round({c}, {n}) AS {c}" for c in cols)
 
 
-def featured(name: str, groups: list, exprs: dict[str, str], inner: str = "b", digits: int = 6) -> None:
+def featured(name: str, groups: Callable[[], list], exprs: dict[str, str], inner: str = "b", digits: int = 6) -> None:
     """A feature query over hourly bars: the operator's columns, and their SQL over `inner`."""
     cols = list(exprs)
 
     @register(name, f"WITH {bars_sql('1 hour')}, x AS (SELECT symbol, time, {', '.join(f'{e} AS {c}' for c, e in exprs.items())} FROM {inner}) SELECT symbol, time, {rounds(cols, digits)} FROM x")
     def run(spark, sf):
-        return rounded(features.add(bars(spark, sf, "1 hour"), *groups), cols, digits)
+        return rounded(features.add(bars(spark, sf, "1 hour"), *groups()), cols, digits)
 
 
 # Resampling.
@@ -227,45 +227,45 @@ def _(spark, sf):
 # Features.
 C1 = f"lag(close) OVER {W}"
 RET = {"returns": f"CASE WHEN {C1} IS NULL OR {C1} = 0 THEN 0 ELSE (close - {C1}) / {C1} END", "log_return": f"CASE WHEN {C1} IS NULL OR {C1} <= 0 OR close <= 0 THEN 0 ELSE ln(close / {C1}) END", "price_change": f"close - {C1}"}
-featured("returns", [features.returns()], RET)
-featured("candle_shape", [features.candle_shape()], {"high_low_range": "high - low", "high_low_pct": "(high - low) / nullif(close, 0) * 100", "body": "close - open", "body_pct": "(close - open) / nullif(close, 0) * 100", "upper_shadow": "greatest(open, close) - high", "lower_shadow": "low - least(open, close)"})
+featured("returns", lambda: [features.returns()], RET)
+featured("candle_shape", lambda: [features.candle_shape()], {"high_low_range": "high - low", "high_low_pct": "(high - low) / nullif(close, 0) * 100", "body": "close - open", "body_pct": "(close - open) / nullif(close, 0) * 100", "upper_shadow": "greatest(open, close) - high", "lower_shadow": "low - least(open, close)"})
 SMA = ", ".join(f"avg(close) OVER {R(n)} AS sma_{n}" for n in (20, 50, 100, 200))
-featured("sma_family", [features.sma_family(), features.sma_slopes()], {**{f"sma_{n}": f"sma_{n}" for n in (20, 50, 100, 200)}, **{f"sma_{n}_slope": f"sma_{n} - lag(sma_{n}) OVER {W}" for n in (20, 50, 100, 200)}}, f"(SELECT *, {SMA} FROM b)", 10)
+featured("sma_family", lambda: [features.sma_family(), features.sma_slopes()], {**{f"sma_{n}": f"sma_{n}" for n in (20, 50, 100, 200)}, **{f"sma_{n}_slope": f"sma_{n} - lag(sma_{n}) OVER {W}" for n in (20, 50, 100, 200)}}, f"(SELECT *, {SMA} FROM b)", 10)
 BB = {}
 for _n in (20, 30):
     for _k in (2, 3):
         mid, std = full_sql("avg", "close", _n), full_sql("stddev_samp", "close", _n)
         up, low = f"(({mid}) + {_k} * ({std}))", f"(({mid}) - {_k} * ({std}))"
         BB |= {f"bb_upper_{_n}_{_k}": up, f"bb_lower_{_n}_{_k}": low, f"bb_width_{_n}_{_k}": f"{up} - {low}", f"bb_position_{_n}_{_k}": f"(close - {low}) / nullif({up} - {low}, 0)"}
-featured("bollinger", [features.bollinger()], BB)
+featured("bollinger", lambda: [features.bollinger()], BB)
 TR = f"(SELECT *, greatest(high - low, abs(high - {C1}), abs(low - {C1})) AS tr FROM b)"
-featured("atr", features.atr(), {f"atr_{n}": full_sql("avg", "tr", n) for n in (14, 21)}, TR)
+featured("atr", lambda: features.atr(), {f"atr_{n}": full_sql("avg", "tr", n) for n in (14, 21)}, TR)
 K = {n: f"100 * (close - ({full_sql('min', 'low', n)})) / nullif(({full_sql('max', 'high', n)}) - ({full_sql('min', 'low', n)}), 0)" for n in (14, 21)}
-featured("stochastic", features.stochastic(), {**{f"stoch_k_{n}": f"k{n}" for n in K}, **{f"stoch_d_{n}": full_sql("avg", f"k{n}", 3) for n in K}}, f"(SELECT *, {', '.join(f'{e} AS k{n}' for n, e in K.items())} FROM b)")
-featured("volatility", [features.returns(), features.volatility()], {f"volatility_{n}": f"({full_sql('stddev_samp', 'lr', n)}) * sqrt(252 * 78)" for n in (10, 20, 30)}, f"(SELECT *, {RET['log_return']} AS lr FROM b)", 4)
-featured("parkinson", features.parkinson(), {"parkinson_vol": f"sqrt(({full_sql('avg', 'hl', 20)}) / (4 * ln(2))) * sqrt(252 * 78)"}, "(SELECT *, CASE WHEN low <> 0 AND high / low > 0 THEN pow(ln(high / low), 2) END AS hl FROM b)", 4)
-featured("volume_features", [features.volume_features()], {"volume_sma_20": full_sql("avg", "tick_volume", 20), "volume_ratio": f"tick_volume / nullif({full_sql('avg', 'tick_volume', 20)}, 0)", "volume_change": f"(tick_volume - lag(tick_volume) OVER {W}) / nullif(lag(tick_volume) OVER {W}, 0)"})
-featured("vwap", features.vwap(), {"vwap": f"({full_sql('sum', 'cv', 20)}) / nullif({full_sql('sum', 'tick_volume', 20)}, 0)", "price_to_vwap": f"close / nullif(({full_sql('sum', 'cv', 20)}) / nullif({full_sql('sum', 'tick_volume', 20)}, 0), 0)"}, "(SELECT *, close * tick_volume AS cv FROM b)", 10)
-featured("cyclic_features", [features.cyclic_features()], {f"{k}_{f}": f"{f}(2 * pi() * {x} / {n})" for k, x, n in (("hour", "hour(time)", 24), ("minute", "minute(time)", 60), ("dow", "(isodow(time) - 1)", 7)) for f in ("sin", "cos")})
-featured("rsi_sma", features.rsi_sma(), {"rsi_sma_14": f"CASE WHEN ({full_sql('avg', 'dn', 14)}) = 0 THEN 100 ELSE 100 - 100 / (1 + ({full_sql('avg', 'up', 14)}) / nullif({full_sql('avg', 'dn', 14)}, 0)) END"}, f"(SELECT *, CASE WHEN d IS NOT NULL THEN greatest(d, 0) END AS up, CASE WHEN d IS NOT NULL THEN greatest(-d, 0) END AS dn FROM (SELECT *, close - {C1} AS d FROM b))", 4)
-featured("rolling_stats", [features.rolling_stats()], {k: v for n in (20, 50) for k, v in {f"rolling_mean_{n}": f"avg(close) OVER {R(n)}", f"rolling_std_{n}": f"stddev_pop(close) OVER {R(n)}", f"rolling_min_{n}": f"min(close) OVER {R(n)}", f"rolling_max_{n}": f"max(close) OVER {R(n)}", f"rolling_range_{n}": f"max(close) OVER {R(n)} - min(close) OVER {R(n)}"}.items()}, digits=10)
+featured("stochastic", lambda: features.stochastic(), {**{f"stoch_k_{n}": f"k{n}" for n in K}, **{f"stoch_d_{n}": full_sql("avg", f"k{n}", 3) for n in K}}, f"(SELECT *, {', '.join(f'{e} AS k{n}' for n, e in K.items())} FROM b)")
+featured("volatility", lambda: [features.returns(), features.volatility()], {f"volatility_{n}": f"({full_sql('stddev_samp', 'lr', n)}) * sqrt(252 * 78)" for n in (10, 20, 30)}, f"(SELECT *, {RET['log_return']} AS lr FROM b)", 4)
+featured("parkinson", lambda: features.parkinson(), {"parkinson_vol": f"sqrt(({full_sql('avg', 'hl', 20)}) / (4 * ln(2))) * sqrt(252 * 78)"}, "(SELECT *, CASE WHEN low <> 0 AND high / low > 0 THEN pow(ln(high / low), 2) END AS hl FROM b)", 4)
+featured("volume_features", lambda: [features.volume_features()], {"volume_sma_20": full_sql("avg", "tick_volume", 20), "volume_ratio": f"tick_volume / nullif({full_sql('avg', 'tick_volume', 20)}, 0)", "volume_change": f"(tick_volume - lag(tick_volume) OVER {W}) / nullif(lag(tick_volume) OVER {W}, 0)"})
+featured("vwap", lambda: features.vwap(), {"vwap": f"({full_sql('sum', 'cv', 20)}) / nullif({full_sql('sum', 'tick_volume', 20)}, 0)", "price_to_vwap": f"close / nullif(({full_sql('sum', 'cv', 20)}) / nullif({full_sql('sum', 'tick_volume', 20)}, 0), 0)"}, "(SELECT *, close * tick_volume AS cv FROM b)", 10)
+featured("cyclic_features", lambda: [features.cyclic_features()], {f"{k}_{f}": f"{f}(2 * pi() * {x} / {n})" for k, x, n in (("hour", "hour(time)", 24), ("minute", "minute(time)", 60), ("dow", "(isodow(time) - 1)", 7)) for f in ("sin", "cos")})
+featured("rsi_sma", lambda: features.rsi_sma(), {"rsi_sma_14": f"CASE WHEN ({full_sql('avg', 'dn', 14)}) = 0 THEN 100 ELSE 100 - 100 / (1 + ({full_sql('avg', 'up', 14)}) / nullif({full_sql('avg', 'dn', 14)}, 0)) END"}, f"(SELECT *, CASE WHEN d IS NOT NULL THEN greatest(d, 0) END AS up, CASE WHEN d IS NOT NULL THEN greatest(-d, 0) END AS dn FROM (SELECT *, close - {C1} AS d FROM b))", 4)
+featured("rolling_stats", lambda: [features.rolling_stats()], {k: v for n in (20, 50) for k, v in {f"rolling_mean_{n}": f"avg(close) OVER {R(n)}", f"rolling_std_{n}": f"stddev_pop(close) OVER {R(n)}", f"rolling_min_{n}": f"min(close) OVER {R(n)}", f"rolling_max_{n}": f"max(close) OVER {R(n)}", f"rolling_range_{n}": f"max(close) OVER {R(n)} - min(close) OVER {R(n)}"}.items()}, digits=7)
 CUM = "sum(ret) OVER (PARTITION BY symbol, {} ORDER BY time ROWS UNBOUNDED PRECEDING)"
-featured("cumulative_returns", [features.returns(), features.cumulative_returns()], {"cumulative_return_day": CUM.format("time::DATE"), "cumulative_return_week": CUM.format("year(time), weekofyear(time)")}, f"(SELECT *, {RET['returns']} AS ret FROM b)", 4)
+featured("cumulative_returns", lambda: [features.returns(), features.cumulative_returns()], {"cumulative_return_day": CUM.format("time::DATE"), "cumulative_return_week": CUM.format("year(time), weekofyear(time)")}, f"(SELECT *, {RET['returns']} AS ret FROM b)", 4)
 
 
-def whole(name: str, cols: dict, exprs: dict[str, str]) -> None:
+def whole(name: str, cols: Callable[[], dict], exprs: dict[str, str]) -> None:
     @register(name, f"WITH {bars_sql('1 hour')} SELECT symbol, time, {', '.join(f'{e} AS {c}' for c, e in exprs.items())} FROM b")
     def run(spark, sf):
-        return features.add(bars(spark, sf, "1 hour"), cols).select("symbol", "time", *exprs)
+        return features.add(bars(spark, sf, "1 hour"), cols()).select("symbol", "time", *exprs)
 
 
 INT = lambda e: f"({e})::INTEGER"
-whole("calendar_features", features.calendar_features(), {"hour": INT("hour(time)"), "minute": INT("minute(time)"), "day_of_week": INT("isodow(time) - 1"), "day_of_month": INT("day(time)"), "month": INT("month(time)"), "quarter": INT("quarter(time)")})
+whole("calendar_features", features.calendar_features, {"hour": INT("hour(time)"), "minute": INT("minute(time)"), "day_of_week": INT("isodow(time) - 1"), "day_of_month": INT("day(time)"), "month": INT("month(time)"), "quarter": INT("quarter(time)")})
 SINCE, TO = "((hour(time) - 9) * 60 + minute(time) - 30)", "((16 - hour(time)) * 60 - minute(time))"
-whole("session_features", features.session_features(), {"minutes_since_open": INT(SINCE), "minutes_to_close": INT(TO), "session_progress": f"{SINCE} / 390.0::DOUBLE", "is_first_hour": INT(f"{SINCE} <= 60"), "is_last_hour": INT(f"{TO} <= 60"), "is_lunch_time": INT("hour(time) >= 12 AND hour(time) < 14"), "is_morning": INT("hour(time) < 12"), "is_afternoon": INT("hour(time) >= 12")})
+whole("session_features", features.session_features, {"minutes_since_open": INT(SINCE), "minutes_to_close": INT(TO), "session_progress": f"{SINCE} / 390.0::DOUBLE", "is_first_hour": INT(f"{SINCE} <= 60"), "is_last_hour": INT(f"{TO} <= 60"), "is_lunch_time": INT("hour(time) >= 12 AND hour(time) < 14"), "is_morning": INT("hour(time) < 12"), "is_afternoon": INT("hour(time) >= 12")})
 P = {c: f"lag({c}) OVER {W}" for c in ("open", "high", "low", "close")}
 FLAG = lambda e: f"coalesce({e}, false)::INTEGER"
-whole("structure_patterns", features.structure_patterns(), {
+whole("structure_patterns", features.structure_patterns, {
     "higher_high": FLAG(f"high > {P['high']}"), "lower_low": FLAG(f"low < {P['low']}"), "higher_low": FLAG(f"low > {P['low']}"), "lower_high": FLAG(f"high < {P['high']}"), "doji": FLAG("abs((close - open) / nullif(close, 0) * 100) < 0.1"),
     "bullish_engulfing": FLAG(f"close > open AND {P['close']} < {P['open']} AND open < {P['close']} AND close > {P['open']}"), "bearish_engulfing": FLAG(f"close < open AND {P['close']} > {P['open']} AND open > {P['close']} AND close < {P['open']}"),
 })
@@ -498,7 +498,7 @@ scaled("winsorize", lambda d: clean.winsorize(d, "x"), f"{Q.format(0.001)} AS a,
 scaled("sigma_clip", lambda d: clean.sigma_clip(d, "x", 1.5), "avg(l_extendedprice) - 1.5 * stddev_samp(l_extendedprice) AS a, avg(l_extendedprice) + 1.5 * stddev_samp(l_extendedprice) AS b", "greatest(a, least(b, x))")
 IQR = f"{Q.format(0.25)} - 0.25 * ({Q.format(0.75)} - {Q.format(0.25)}) AS a, {Q.format(0.75)} + 0.25 * ({Q.format(0.75)} - {Q.format(0.25)}) AS b"
 scaled("iqr_clip", lambda d: clean.iqr_clip(d, "x", 0.25), IQR, "greatest(a, least(b, x))")
-scaled("log_transform", lambda d: clean.log_transform(d, "x"), "1 AS a", "ln(1 + x)")
+scaled("log_transform", lambda d: clean.log_transform(d, "x"), "min(l_extendedprice) AS a", "ln(1 + x)")
 scaled("robust_scale", lambda d: clean.robust_scale(d, "x", "x"), f"{Q.format(0.5)} AS m, {Q.format(0.75)} - {Q.format(0.25)} AS w", "(x - m) / w")
 scaled("standard_scale", lambda d: clean.standard_scale(d, "x", "x"), "avg(l_extendedprice) AS m, stddev_pop(l_extendedprice) AS w", "(x - m) / w")
 scaled("minmax_scale", lambda d: clean.minmax_scale(d, "x", "x"), "min(l_extendedprice) AS m, max(l_extendedprice) - min(l_extendedprice) AS w", "(x - m) / w")
