@@ -136,12 +136,12 @@ COLUMNS = ("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_rep
 
 ORACLE_SQL = r"""
 WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents),
-w AS (SELECT r, doc_id, t, list_filter(string_split_regex(t, '[\x20\x09-\x0D]+'), x -> x <> '') AS w,
-        list_filter(string_split(t, chr(10)), x -> regexp_matches(x, '[^\x20\x09-\x0D]')) AS l FROM d),
+w AS (SELECT r, doc_id, t, list_filter(string_split_regex(t, '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w,
+        list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS l FROM d),
 win AS (SELECT r, i, w[i] || ' ' || w[i+1] || ' ' || w[i+2] AS g FROM (SELECT r, w, unnest(range(1, len(w) - 1)) AS i FROM w)),
 dup AS (SELECT r, i FROM (SELECT r, i, count(*) OVER (PARTITION BY r, g) AS n FROM win) WHERE n > 1),
 cov AS (SELECT r, count(DISTINCT i + o) AS c FROM dup, (VALUES (0), (1), (2)) AS v(o) GROUP BY r),
-m AS (SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(list_sum(list_transform(w, x -> length(x))), 0)::BIGINT AS word_chars,
+m AS (SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(list_sum(list_transform(w, lambda x: length(x))), 0)::BIGINT AS word_chars,
         length(regexp_replace(t, '[^#*$%&|<>]', '', 'g'))::BIGINT AS n_symbols, len(l)::BIGINT AS n_lines,
         (len(l) - len(list_distinct(l)))::BIGINT AS n_dup_lines, coalesce(c, 0)::BIGINT AS n_repeat_words,
         length(regexp_replace(t, '[^!]', '', 'g'))::BIGINT AS x FROM w LEFT JOIN cov USING (r))
