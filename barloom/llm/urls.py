@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from .common import materialize
 
 #: (rule, verdict): host suffix and path prefix. The longest that fits wins.
-RULES = (("com/en/", "block"), ("example.com/en/7", "allow"), ("net/de/", "block"), ("example.net/de/8", "block"), ("org/es/", "block"))
+RULES = (("com/en/", "block"), ("example.com/en/7", "allow"), ("net/de/", "allow"), ("example.net/de/8", "block"), ("org/es/", "block"))
 DEPTH = 4
 
 
