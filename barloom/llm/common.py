@@ -74,7 +74,7 @@ class UnitEncoder:
     words. True (byte-level BPE): a unit takes along the single space before it; runs of white space stay in one unit.
     """
 
-    def __init__(self, path: str, lossless: bool = False, most: int = 400_000):
+    def __init__(self, path: str, lossless: bool = False, most: int = 600_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -83,7 +83,7 @@ class UnitEncoder:
         #: A special token, found before any other step: texts joined by its string are encoded apart from each other.
         self.mark_id, self.mark = max((i, t.content) for i, t in self.tokenizer.get_added_tokens_decoder().items())
         self.cache: dict[str, bytes] = {}
-        self.of_piece: dict[str, list[int]] = {}
+        self.of_piece: dict[str, dict[str, bytes]] = {}
 
     def units(self, text: str) -> list[str]:
         if not self.lossless:
@@ -100,17 +100,19 @@ class UnitEncoder:
         """The lower-cased pieces that the word BPE merges within; None if the unit needs the library's own rules."""
         return _PIECE.findall(unit.lower()) if _SIMPLE.fullmatch(unit) else None
 
-    def word_ids(self, units: list[str]) -> Iterator[tuple[str, list[int]]]:
-        """ids() of a word BPE's units, through a cache of pieces: a word is known with any case and punctuation."""
-        if len(self.of_piece) > self.most:
-            self.of_piece.clear()
+    def word_ids(self, units: list[str], code: str) -> Iterator[tuple[str, bytes]]:
+        """Each unit of a word BPE with its ids, through a cache of pieces: a word is known with any case and punctuation."""
+        of_piece = self.of_piece.setdefault(code, {})
+        if len(of_piece) > self.most:
+            of_piece.clear()
         cut = {u: self.pieces(u) for u in units}
-        of_piece = self.of_piece
-        of_piece.update(self.ids(list({p for own in cut.values() if own for p in own if p not in of_piece})))
+        for p, ids in self.ids(list({p for own in cut.values() if own for p in own if p not in of_piece})):
+            of_piece[p] = array(code, ids).tobytes()
         for u, own in cut.items():
             if own is not None:
-                yield u, [i for p in own for i in of_piece[p]]
-        yield from self.ids([u for u, own in cut.items() if own is None])
+                yield u, b"".join([of_piece[p] for p in own])
+        for u, ids in self.ids([u for u, own in cut.items() if own is None]):
+            yield u, array(code, ids).tobytes()
 
     def ids(self, units: list[str]) -> Iterator[tuple[str, list[int]]]:
         """Each unit with its ids; many short units share one call of the library, parted by the mark."""
@@ -136,8 +138,7 @@ class UnitEncoder:
             cache.clear()
         new = list({u for units in cut for u in units if u not in cache})
         if new:
-            for u, ids in self.ids(new) if self.lossless else self.word_ids(new):
-                cache[u] = array(code, ids).tobytes()
+            cache.update(((u, array(code, ids).tobytes()) for u, ids in self.ids(new)) if self.lossless else self.word_ids(new, code))
         return [b"".join([cache[u] for u in units]) for units in cut]
 
 
