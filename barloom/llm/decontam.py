@@ -29,20 +29,23 @@ BROADCAST_ROWS = 50_000
 NUMBER_WORDS = "zero one two three four five six seven eight nine ten eleven twelve thirteen fourteen fifteen sixteen seventeen eighteen nineteen twenty thirty forty fifty sixty seventy eighty ninety hundred thousand million billion".split()
 UNITS = "% $ € £ ° mm cm m km mg g kg t ml l s sec secs second seconds min mins minute minutes h hr hrs hour hours day days week weeks month months year years inch inches foot feet yard yards mile miles ounce ounces pound pounds gallon gallons liter liters litre litres meter meters metre metres gram grams kilogram kilograms dollar dollars euro euros cent cents percent degree degrees mph kmh".split()
 
-_NUMBER = r"[0-9]+(?:[.,:][0-9]+)*"
+_NUMBER = r"[0-9]++(?:[.,:][0-9]++)*+"
 _LETTERS = r"[\p{L}\p{M}]+"
 _SIGNS = "[%$€£°]"
 #: A capitalised word after a word or comma and one space, that is, inside a sentence.
 _NAME = r"\p{Lu}(?<=[\p{L}\p{N},;:] .)[\p{L}\p{M}]+"
-_UNIT = "(" + _NUMBER + ")( ?)(?:" + "|".join(sorted((u for u in UNITS if u.isalpha()), key=lambda u: (-len(u), u))) + r")(?![\p{L}\p{M}])"
-_SIGN_UNIT = "(" + _NUMBER + ")( ?)" + _SIGNS
-_NUMBER_WORD = r"(?<![\p{L}\p{M}])(?:" + "|".join(NUMBER_WORDS) + r")(?![\p{L}\p{M}])"
+#: For numbers before a unit: begins at a number's first digit and never gives digits back, so long runs take linear time.
+_WHOLE_NUMBER = r"[0-9](?<![0-9].)(?<![0-9][.,:].)[0-9]*+(?:[.,:][0-9]++)*+"
+_UNIT = _WHOLE_NUMBER + "( ?)(?:" + "|".join(sorted((u for u in UNITS if u.isalpha()), key=lambda u: (-len(u), u))) + r")(?![\p{L}\p{M}])"
+_SIGN_UNIT = _WHOLE_NUMBER + "( ?)" + _SIGNS
+#: With the character before it, which a text's first word is given: only non-letters are tried.
+_NUMBER_WORD = r"([^\p{L}\p{M}])(?:" + "|".join(NUMBER_WORDS) + r")(?![\p{L}\p{M}])"
 
 
 def canonical(text: Column) -> Column:
     """The template's tokens. Every replacement leaves one token in the place of one, so they align with raw_tokens."""
-    t = F.lower(F.regexp_replace(text, _NAME, "#name"))
-    for pattern, by in ((_UNIT, "#num$2#unit"), (_SIGN_UNIT, "#num$2#unit"), (_NUMBER, "#num"), (_NUMBER_WORD, "#num")):
+    t = F.concat(F.lit(" "), F.lower(F.regexp_replace(text, _NAME, "#name")))
+    for pattern, by in ((_UNIT, "#num$1#unit"), (_SIGN_UNIT, "#num$1#unit"), (_NUMBER, "#num"), (_NUMBER_WORD, "$1#num")):
         t = F.regexp_replace(t, pattern, by)
     return F.regexp_extract_all(t, F.lit(f"#[a-z]+|{_LETTERS}|{_SIGNS}"), F.lit(0))
 
