@@ -82,7 +82,10 @@ def repeated(docs: DataFrame, id_col: str = "doc_id") -> DataFrame:
     """(id, key, cover): for each document with repeated spans, the [first, count] of each occurrence but the first."""
     found = spans(docs, id_col)
     first = found.groupBy("h").agg(F.min(F.struct("id", "at")).alias("first"), F.max(F.struct("id", "at")).alias("last")).where("first <> last").select("h", F.col("first.id").alias("fid"), F.col("first.at").alias("fat"))
-    again = found.join(first, "h").where("id <> fid OR at <> fat")
+    # Joined by another key than the aggregate's: both sides are dealt anew, so that adaptive execution can split the
+    # many rows of one span; the aggregate's own partitions could not be split.
+    other = F.col("h").bitwiseXOR(F.lit(1).cast("long")).alias("k")
+    again = found.select(other, "id", "at", "n").join(first.select(other, "fid", "fat"), "k").where("id <> fid OR at <> fat")
     low = F.lit(2**32 - 1)
     return again.groupBy("id", (F.col("at") - F.col("at").bitwiseAND(low)).alias("key")).agg(F.collect_set(F.struct(F.col("at").bitwiseAND(low).cast("int").alias("i"), "n")).alias("cover"))
 
