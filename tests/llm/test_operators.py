@@ -177,6 +177,12 @@ def test_reparameterised_questions(spark):
     assert sorted(r["doc_id"] for r in decontam.keep_uncontaminated(d, b).collect()) == [2, 3, 4, 5]
 
 
+def test_long_numbers_are_one_token(spark):
+    texts = ["9" * 200_000 + " km", "1." * 50_000 + "2 kg", "One two three", "x 5 5 m"]
+    got = spark.createDataFrame(list(enumerate(texts)), "i long, t string").select("i", decontam.canonical(F.col("t")).alias("c")).collect()
+    assert [r["c"] for r in sorted(got)] == [["#num", "#unit"], ["#num", "#unit"], ["#num"] * 3, ["x", "#num", "#num", "#unit"]]
+
+
 def test_licences(spark):
     rows = [(1, "Intro.\nReleased under the MIT License.\nEnd"), (2, "The plumber is licensed under the city rules."), (3, None), (4, BASE)]
     got = licenses.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()
