@@ -17,12 +17,13 @@ rows repeat; other columns are ignored.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import map_arrow, materialize, slices, text_of
@@ -31,6 +32,12 @@ BLOCKS = 4
 RADIUS = 2
 N_PIVOTS = 16
 BUCKET_CAP = 48
+#: Texts drawn to find hot shingles, copies of one among them that make it hot, and the most that are kept.
+HOT_SAMPLE = 20_000
+HOT_COUNT = 4
+HOT_MOST = 100_000
+#: Members of one list that are compared in one piece; bounds memory only.
+LIST_CAP = 512
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -85,33 +92,6 @@ def fingerprints(docs: DataFrame, words: int = 3, id_col: str = "doc_id") -> Dat
     return map_arrow(docs.select(F.col(id_col).cast("long").alias("id"), text_of()), run, "id long, fp long").withColumnRenamed("id", id_col)
 
 
-def lane_fingerprints(docs: DataFrame, lanes: int, words: int = 2, key: str = "key") -> DataFrame:
-    """(key, lanes array<long>): several independent fingerprints of the same shingles, for a higher recall."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from xxhash import xxh64_intdigest as h
-
-        seeds = np.random.default_rng(7).integers(0, 2**64, lanes, dtype=np.uint64) | np.uint64(1)
-        for batch in slices(batches):
-            runs, ends = [], [0]
-            for text in batch.column(1).to_pylist():
-                runs.append(shingle_hashes([h(w) for w in text.encode().lower().split()], words))
-                ends.append(ends[-1] + len(runs[-1]))
-            flat = np.concatenate(runs) if runs else np.zeros(0, np.uint64)
-            cols = []
-            for s in seeds:
-                x = flat * s
-                x ^= x >> np.uint64(32)
-                x *= _ODD
-                x ^= x >> np.uint64(29)
-                cols.append(majority(x, np.array(ends)))
-            rows = np.stack(cols, axis=1).view(np.int64)
-            lists = pa.ListArray.from_arrays(pa.array(np.arange(len(rows) + 1, dtype=np.int32) * lanes), pa.array(rows.ravel()))
-            yield pa.RecordBatch.from_arrays([batch.column(0), lists], ["key", "lanes"])
-
-    return map_arrow(docs.select(F.col(key).alias("key"), text_of()), run, "key long, lanes array<long>")
-
-
 def shingle_hashes(word_hashes: list[int], words: int) -> np.ndarray:
     """A hash for each window of words, from the words' hashes; fewer words: one for the whole sequence."""
     w = np.array(word_hashes, np.uint64)
@@ -214,26 +194,120 @@ def near_duplicates(docs: DataFrame, words: int = 3, id_col: str = "doc_id") ->
     return fps.join(of_fp, "fp").select(id_col, F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
-def similar_groups(docs: DataFrame, lanes: int = 8, words: int = 5, similarity: float = 0.8, id_col: str = "doc_id") -> DataFrame:
+def similar_groups(docs: DataFrame, words: int = 5, similarity: float = 0.8, id_col: str = "doc_id") -> DataFrame:
     """(key, root): classes of equal texts (key: the text's hash) and the least key of their near-duplicate group.
 
-    Texts are candidates if any of `lanes` independent fingerprints (of word pairs, which small edits disturb least) is
-    within 2 bits; a candidate pair is linked if the Jaccard similarity of their sets of `words`-word shingles is at least
-    `similarity`. Recall is that of the fingerprints: over 0.9 from a similarity of about 0.87, measured in the README.
+    Two texts are linked if the Jaccard similarity of their sets of `words`-word shingles is at least `similarity`; none
+    is missed. Prefix filter: with every set in one common order, two such sets share an element among the first
+    n - ceil(similarity * n) + 1 of each, n the set's size, so only texts listed under a common prefix element are
+    compared. Any order is exact; hot shingles, found in a sample, come last, which keeps the lists short. In each list
+    all members are first compared with the least one; then every pair that these links left unconnected is compared.
     """
     keyed = docs.select(F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit(""))).alias("key"), "text")
-    lane = materialize(lane_fingerprints(keyed, lanes).dropDuplicates(["key"]))
-    points = lane.select(F.posexplode("lanes").alias("space", "fp"), "key")
-    first = materialize(points.groupBy("space", "fp").agg(F.min("key").alias("key"), F.count("*").alias("n")))
-    same = points.join(first.where("n > 1").withColumnRenamed("key", "low"), ["space", "fp"]).select(F.col("low").alias("a"), F.col("key").alias("b"))
-    near = links(first.select("space", "fp"))
-    near = near.join(first.select("space", F.col("fp").alias("a"), F.col("key").alias("ka")), ["space", "a"]).join(first.select("space", F.col("fp").alias("b"), F.col("key").alias("kb")), ["space", "b"])
-    pairs = same.unionByName(near.select(F.col("ka").alias("a"), F.col("kb").alias("b"))).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a < b").distinct()
+    prefixes = materialize(_prefixes(keyed, words, similarity, _hot_shingles(keyed, words)).dropDuplicates(["key"]))
+    rows = map_arrow(prefixes, _unfold, "h long, key long, n int, pos int")
+    met = rows.groupBy("h").agg(F.min("key").alias("least"), F.max("key").alias("most")).where("least < most").select("h")
+    rows = materialize(rows.join(met, "h"))
+    hub = rows.groupBy("h").agg(F.min(F.struct("key", "n", "pos")).alias("hub"))
+    star = rows.join(hub, "h").where("key > hub.key").where(_may_reach(similarity, F.col("n"), F.col("pos"), F.col("hub.n"), F.col("hub.pos")))
+    first = materialize(_alike(star.select(F.col("hub.key").alias("a"), F.col("key").alias("b")).distinct(), keyed, words, similarity))
+    roots = components(first)
+    rooted = rows.join(roots, rows["key"] == roots["node"], "left").select("h", "key", F.coalesce("root", "key").alias("root"), "n", "pos")
+    rest = _unconnected(materialize(rooted), similarity)
+    return components(first.unionByName(_alike(rest, keyed, words, similarity)))
+
+
+def _hot_shingles(keyed: DataFrame, words: int) -> np.ndarray:
+    """The sorted hashes of the most frequent shingles of about HOT_SAMPLE texts: bounded, whatever the input's size."""
+    every = max(1, keyed.count() // HOT_SAMPLE)
+    sample = shingle_sets(keyed.where(F.pmod(F.xxhash64("key"), F.lit(every)) == 0), words).dropDuplicates(["key"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            flat = b"".join(batch.column(0).to_pylist())
+            yield pa.RecordBatch.from_arrays([pa.array(np.frombuffer(flat, np.int64))], ["h"])
+
+    counts = map_arrow(sample.select("shingles"), run, "h long").groupBy("h").count()
+    top = counts.where(F.col("count") >= HOT_COUNT).orderBy(F.desc("count"), "h").limit(HOT_MOST).collect()
+    return np.sort(np.array([r["h"] for r in top], np.int64).view(np.uint64))
+
+
+def _prefixes(keyed: DataFrame, words: int, similarity: float, hot: np.ndarray) -> DataFrame:
+    """(key, n, prefix): the set's size and, as bytes, its first elements: others by hash, then hot ones by hash."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            sizes, out = [], []
+            for flat in batch.column(1).to_pylist():
+                own = np.frombuffer(flat, np.uint64)
+                last = hot.take(np.searchsorted(hot, own), mode="clip") == own if len(hot) else np.zeros(len(own), bool)
+                order = np.concatenate([own[~last], own[last]])
+                sizes.append(len(own))
+                # Without words: one list for all such texts, which are alike.
+                out.append(order[: len(own) - math.ceil(similarity * len(own) - 1e-9) + 1].tobytes() or bytes(8))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, pa.int32()), pa.array(out, pa.binary())], ["key", "n", "prefix"])
+
+    return map_arrow(shingle_sets(keyed, words), run, "key long, n int, prefix binary")
+
+
+def _unfold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(key, n, prefix) to (h, key, n, pos), a row an element."""
+    for batch in slices(batches):
+        prefix = batch.column(2).to_pylist()
+        size = np.array([len(x) // 8 for x in prefix])
+        pos = np.concatenate([np.arange(k, dtype=np.int32) for k in size])
+        cols = [np.frombuffer(b"".join(prefix), np.int64), np.repeat(batch.column(0).to_numpy(), size), np.repeat(batch.column(1).to_numpy(), size), pos]
+        yield pa.RecordBatch.from_arrays([pa.array(c) for c in cols], ["h", "key", "n", "pos"])
+
+
+def _may_reach(similarity: float, n: Column, pos: Column, m: Column, at: Column) -> Column:
+    """Whether sets of n and m elements whose first common one lies at pos and at can be similar enough."""
+    return F.least(n - pos, m - at) >= similarity / (1 + similarity) * (n + m) - 1e-6
+
+
+def _unconnected(rooted: DataFrame, similarity: float) -> DataFrame:
+    """(a, b): every pair of a common list that may be similar enough and has different roots.
+
+    Lists over LIST_CAP are dealt into blocks and compared block with block, so that no task holds more at a time.
+    """
+    sizes = rooted.groupBy("h").agg(F.count("*").alias("c"), F.min("root").alias("least"), F.max("root").alias("most")).where("least < most").select("h", "c")
+    listed = rooted.join(sizes, "h")
+    blocks = F.ceil(F.col("c") / (LIST_CAP // 2)).cast("int")
+    long = listed.where(F.col("c") > LIST_CAP).withColumn("x", F.pmod(F.xxhash64("key"), blocks).cast("int")).select("*", F.explode(F.sequence(F.lit(0), blocks - 1)).alias("y"))
+    side = F.when(F.col("x") == F.col("y"), 0).when(F.col("x") < F.col("y"), 1).otherwise(2)
+    short = listed.where(F.col("c") <= LIST_CAP).select("h", F.lit(0).alias("p"), F.lit(0).alias("q"), F.lit(0).alias("side"), "key", "root", "n", "pos")
+    long = long.select("h", F.least("x", "y").alias("p"), F.greatest("x", "y").alias("q"), side.alias("side"), "key", "root", "n", "pos")
+    lists = short.unionByName(long).groupBy("h", "p", "q").agg(F.array_sort(F.collect_list(F.struct("n", "key", "root", "pos", "side"))).alias("l")).where("size(l) > 1")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            lists = batch.column(0)
+            n, key, root, pos, side = [c.to_numpy() for c in lists.flatten().flatten()]
+            own = np.repeat(np.arange(len(lists)), np.diff(lists.offsets.to_numpy()))
+            i, step = np.arange(len(own)), 0
+            while len(i):
+                step += 1
+                i = i[i + step < len(own)]
+                j = i + step
+                # Sizes rise within a list: once too large, all later ones are.
+                i = i[(own[i] == own[j]) & (n[i] >= similarity * n[j] - 1e-6)]
+                j = i + step
+                good = (root[i] != root[j]) & ((side[i] == 0) | (side[i] != side[j]))
+                good &= np.minimum(n[i] - pos[i], n[j] - pos[j]) >= similarity / (1 + similarity) * (n[i] + n[j]) - 1e-6
+                if good.any():
+                    x, y = key[i[good]], key[j[good]]
+                    yield pa.RecordBatch.from_arrays([pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y))], ["a", "b"])
+
+    return map_arrow(lists.select("l"), run, "a long, b long").distinct()
+
+
+def _alike(pairs: DataFrame, keyed: DataFrame, words: int, similarity: float) -> DataFrame:
+    """The pairs (a, b) of keys whose texts are similar enough."""
     pairs = materialize(pairs)
     members = pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct()
-    sets = shingle_sets(keyed.join(members, "key", "left_semi"), words).dropDuplicates(["key"])
+    sets = materialize(shingle_sets(keyed.join(members, "key", "left_semi"), words).dropDuplicates(["key"]))
     checked = pairs.join(sets.select(F.col("key").alias("a"), F.col("shingles").alias("sa")), "a").join(sets.select(F.col("key").alias("b"), F.col("shingles").alias("sb")), "b")
-    return components(map_arrow(checked.select("a", "b", "sa", "sb"), _jaccard(similarity), "a long, b long"))
+    return map_arrow(checked.select("a", "b", "sa", "sb"), _jaccard(similarity), "a long, b long")
 
 
 def shingle_sets(keyed: DataFrame, words: int) -> DataFrame:
@@ -264,9 +338,9 @@ def _jaccard(similarity: float):
     return run
 
 
-def drop_near_duplicates(docs: DataFrame, similarity: float = 0.8, words: int = 5, lanes: int = 8) -> DataFrame:
+def drop_near_duplicates(docs: DataFrame, similarity: float = 0.8, words: int = 5) -> DataFrame:
     """One row of each group stays: the least (doc_id, text hash) of it. All columns as they came."""
-    roots = materialize(similar_groups(docs, lanes, words, similarity))
+    roots = materialize(similar_groups(docs, words, similarity))
     key = F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")))
     slim = docs.select("doc_id", key.alias("__key")).join(roots, F.col("__key") == F.col("node"), "left")
     slim = slim.select(F.coalesce("root", "__key").alias("root"), F.struct(F.coalesce(F.col("doc_id").cast("long"), F.lit(2**63 - 1)).alias("d"), F.col("__key").alias("k")).alias("me"))

@@ -229,3 +229,46 @@ def test_urls(spark):
     assert (got[4]["host"], got[4]["path"], got[5]["host"]) == ("", "", "")
     assert got[6]["rule"] == "example.net/de/8" and got[6]["verdict"] == "block" and got[7]["rule"] == "net/de/" and got[7]["verdict"] == "allow"
     assert got[101]["template"] == "/spam/{n}" and got[101]["verdict"] == "block"
+
+
+def brute_shingles(text):
+    w = text.lower().split()
+    return {tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))}
+
+
+def brute_groups(texts):
+    sets = [brute_shingles(t) for t in texts]
+    root = list(range(len(texts)))
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for i in range(len(texts)):
+        for j in range(i):
+            if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j]):
+                root[max(find(i), find(j))] = min(find(i), find(j))
+    return sorted({find(i) for i in range(len(texts))})
+
+
+def edited_copies():
+    """Copies between a similarity of 0.75 and 0.95, most pairs near 0.8, and texts of one hot passage and own words."""
+    r, texts = random.Random(11), []
+    for g in range(14):
+        base = prose(150, 300 + g).split(" ")
+        for _ in range(60 if g == 0 else 4):
+            w = list(base)
+            for at in r.sample(range(150), r.randint(1, 4)):
+                w[at] = "".join(r.choices("abcdefgh", k=6))
+            texts.append(" ".join(w))
+    hot = prose(80, 400)
+    return texts + [hot + " " + prose(n, 500 + n) for n in range(6, 46)]
+
+
+@pytest.mark.parametrize("cap", [8, 512])
+def test_near_duplicates_against_brute_force(spark, monkeypatch, cap):
+    monkeypatch.setattr(simhash, "LIST_CAP", cap, raising=False)
+    texts = edited_copies()
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert sorted(r["doc_id"] for r in simhash.drop_near_duplicates(df).select("doc_id").collect()) == brute_groups(texts)
