@@ -272,3 +272,15 @@ def test_near_duplicates_against_brute_force(spark, monkeypatch, cap):
     texts = edited_copies()
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     assert sorted(r["doc_id"] for r in simhash.drop_near_duplicates(df).select("doc_id").collect()) == brute_groups(texts)
+
+
+def test_large_group_around_the_threshold(spark):
+    r, w = random.Random(3), prose(300, 77).split(" ")
+    texts = []
+    for _ in range(150):
+        own = list(w)
+        for at in r.sample(range(300), r.randint(3, 5)):
+            own[at] = "".join(r.choices("abcdefgh", k=6))
+        texts.append(" ".join(own))
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert sorted(r["doc_id"] for r in simhash.drop_near_duplicates(df).select("doc_id").collect()) == brute_groups(texts)
