@@ -43,9 +43,12 @@ _NUMBER_WORD = r"([^\p{L}\p{M}])(?:" + "|".join(NUMBER_WORDS) + r")(?![\p{L}\p{M
 
 
 def canonical(text: Column) -> Column:
-    """The template's tokens. Every replacement leaves one token in the place of one, so they align with raw_tokens."""
-    t = F.concat(F.lit(" "), F.lower(F.regexp_replace(text, _NAME, "#name")))
-    for pattern, by in ((_UNIT, "#num$1#unit"), (_SIGN_UNIT, "#num$1#unit"), (_NUMBER, "#num"), (_NUMBER_WORD, "$1#num")):
+    """The template's tokens. Every replacement leaves one token in the place of one, so they align with raw_tokens.
+
+    Numbers and signs may touch letters ('19th'): a blank after their placeholder keeps the letters a token of their own.
+    """
+    t = F.concat(F.lit(" "), F.lower(F.regexp_replace(F.translate(text, "#", " "), _NAME, "#name")))
+    for pattern, by in ((_UNIT, "#num$1#unit"), (_SIGN_UNIT, "#num$1#unit "), (_NUMBER, "#num "), (_NUMBER_WORD, "$1#num")):
         t = F.regexp_replace(t, pattern, by)
     return F.regexp_extract_all(t, F.lit(f"#[a-z]+|{_LETTERS}|{_SIGNS}"), F.lit(0))
 

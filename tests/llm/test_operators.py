@@ -284,3 +284,13 @@ def test_large_group_around_the_threshold(spark):
         texts.append(" ".join(own))
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     assert sorted(r["doc_id"] for r in simhash.drop_near_duplicates(df).select("doc_id").collect()) == brute_groups(texts)
+
+
+def test_templates_align_with_raw_tokens(spark):
+    texts = ["token = 24be64439e3e", "On the 19th Tom's 5%ers had #tags and #num 3", "5kg 5 % x2y Tom5 $7a"]
+    got = spark.createDataFrame(list(enumerate(texts)), "i long, t string").select("i", decontam.canonical(F.col("t")).alias("c"), decontam.raw_tokens(F.col("t")).alias("r")).collect()
+    for r in got:
+        assert len(r["c"]) == len(r["r"]) and all(c == x or c in ("#num", "#unit", "#name") for c, x in zip(r["c"], r["r"]))
+    b = spark.createDataFrame([(1, "Tom has 12 apples and buys 5 kg more; how many apples does Tom Smith have after 12 days?")], "item_id long, text string")
+    d = spark.createDataFrame([(1, "The 19th and token 24be64439e3e. Ann has 30 apples and buys 7 kg more; how many apples does Ann Smith have after 30 days?")], "doc_id long, text string")
+    assert [r["doc_id"] for r in decontam.contaminated(d, b).collect()] == [1]
