@@ -3,9 +3,10 @@
 Texts become token sequences: words, numbers, units. A number (digits with inner separators, or a number word) turns into
 #num, a unit directly after a number into #unit, a capitalised word inside a sentence into #name; other words are
 lower-cased. Windows of `window` tokens are hashed and joined with the windows of the benchmark items. A matched window
-whose slots (the replaced tokens) are equal is verbatim. Otherwise its slots must be consistent: over all matched windows
-of an item in a document, each slot value of the item stands for one value of the document. An item is found in a
-document if its matched windows, verbatim or consistent, cover at least `min_share` of the item's windows.
+whose slots (the replaced tokens) are equal is verbatim. Otherwise its slots must be consistent: over the matched windows
+of one occurrence of an item, each slot value of the item stands for one value of the document. An item is found in a
+document if the matched windows, verbatim or consistent, of its best occurrence (or all of the document's, if consistent
+as a whole) cover at least `min_share` of the item's windows.
 
 Edge cases: null or empty texts have no windows; an item or document of fewer tokens than `window` has one window of all
 its tokens (an item of fewer than `min_literals` literal tokens in every window cannot be found); repeated rows are judged
@@ -14,7 +15,7 @@ alike, each by its id and text; null ids are kept; an empty benchmark finds noth
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import materialize
@@ -103,15 +104,29 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, mi
     # Slot values are fetched for windows that have slots only.
     slotted = hits.where(F.col("item_slots").isNotNull())
     raw = own.withColumnsRenamed({"__id": "__i", "__key": "__k"}).join(slotted.select(F.col("__id").alias("__x"), F.col("__key").alias("__y")).distinct(), F.col("__i").eqNullSafe(F.col("__x")) & (F.col("__k") == F.col("__y")), "left_semi").select("__i", "__k", raw_tokens(F.col("__text")).alias("__r"))
-    valued = slotted.join(raw, F.col("__id").eqNullSafe(F.col("__i")) & (F.col("__key") == F.col("__k"))).select("__id", "__key", "item_id", "item_pos", F.transform("item_slots", lambda s: F.struct(s["v"].alias("a"), F.get("__r", F.col("pos") + s["j"]).alias("b"))).alias("pairs"))
+    valued = slotted.join(raw, F.col("__id").eqNullSafe(F.col("__i")) & (F.col("__key") == F.col("__k"))).select("__id", "__key", "item_id", "item_pos", "pos", F.transform("item_slots", lambda s: F.struct(s["v"].alias("a"), F.get("__r", F.col("pos") + s["j"]).alias("b"))).alias("pairs"))
     valued = valued.distinct().select("*", F.forall("pairs", lambda p: F.coalesce(p["a"] == p["b"], F.lit(False))).alias("verbatim"))
     group = ["__id", "__key", "item_id"]
-    slots = valued.where(~F.col("verbatim")).select(*group, F.explode("pairs").alias("s")).groupBy(*group).agg(F.countDistinct("s.a").alias("n_slots"), F.countDistinct("s").alias("n_pairs"))
-    judged = hits.where(F.col("item_slots").isNull()).select(*group, "item_pos", F.lit(True).alias("verbatim")).unionByName(valued.select(*group, "item_pos", "verbatim"))
-    counts = judged.groupBy(*group).agg(F.countDistinct("item_pos").alias("all_windows"), F.countDistinct(F.when(F.col("verbatim"), F.col("item_pos"))).alias("verbatim_windows"))
-    same = [F.col(f"x.{c}").eqNullSafe(F.col(f"y.{c}")) for c in group]
-    merged = counts.alias("x").join(slots.alias("y"), same[0] & same[1] & same[2], "left").select("x.*", F.coalesce("y.n_slots", F.lit(0)).alias("n_slots"), F.coalesce("y.n_pairs", F.lit(0)).alias("n_pairs"))
+    plain = hits.where(F.col("item_slots").isNull())
+    judged = plain.select(*group, "item_pos", "pos", F.lit(None).cast(valued.schema["pairs"].dataType).alias("pairs"), F.lit(True).alias("verbatim")).unionByName(valued)
+    # An item may occur several times in a document, with other values each: windows of one occurrence lie at about the
+    # same offset. Consistency is judged for the whole document, for runs of near offsets and for each offset.
+    offset = F.col("pos") - F.col("item_pos")
+    by_offset = Window.partitionBy(*group).orderBy("offset")
+    judged = judged.select("*", offset.alias("offset"))
+    judged = judged.select("*", F.when(F.col("offset") - F.lag("offset").over(by_offset) < window, 0).otherwise(1).alias("new"))
+    judged = judged.select("*", F.sum("new").over(by_offset).cast("int").alias("run"))
+    places = F.array(*[F.struct(F.lit(i).alias("level"), c.cast("int").alias("at")) for i, c in enumerate((F.lit(0), F.col("run"), F.col("offset")))])
+    placed = judged.select(*group, "item_pos", "pairs", "verbatim", F.explode(places).alias("place"))
+    here = [*group, "place"]
+    slots = placed.where(~F.col("verbatim")).select(*here, F.explode("pairs").alias("s")).groupBy(*here).agg(F.countDistinct("s.a").alias("n_slots"), F.countDistinct("s").alias("n_pairs"))
+    counts = placed.groupBy(*here).agg(F.countDistinct("item_pos").alias("all_windows"), F.countDistinct(F.when(F.col("verbatim"), F.col("item_pos"))).alias("verbatim_windows"))
+    same = [F.col(f"x.{c}").eqNullSafe(F.col(f"y.{c}")) for c in here]
+    merged = counts.alias("x").join(slots.alias("y"), same[0] & same[1] & same[2] & same[3], "left").select("x.*", F.coalesce("y.n_slots", F.lit(0)).alias("n_slots"), F.coalesce("y.n_pairs", F.lit(0)).alias("n_pairs"))
     merged = merged.withColumn("matched_windows", F.when(F.col("n_pairs") == F.col("n_slots"), F.col("all_windows")).otherwise(F.col("verbatim_windows")))
+    # The best place; verbatim windows are counted in the whole document, as the place of level 0 does.
+    best = F.max(F.struct("matched_windows", (-F.col("place.level")).alias("l"), (-F.col("place.at")).alias("a"), "n_slots")).alias("best")
+    merged = merged.groupBy(*group).agg(best, F.max("verbatim_windows").alias("verbatim_windows")).select(*group, "best.matched_windows", "verbatim_windows", "best.n_slots")
     found = merged.join(totals, "item_id").where(F.col("matched_windows") >= min_share * F.col("item_windows"))
     return found.select(F.col("__id").alias(id_col), F.col("__key").alias("text_key"), "item_id", "item_windows", "matched_windows", "verbatim_windows", F.col("n_slots").cast("long").alias("n_slots"))
 

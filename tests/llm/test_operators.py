@@ -294,3 +294,11 @@ def test_templates_align_with_raw_tokens(spark):
     b = spark.createDataFrame([(1, "Tom has 12 apples and buys 5 kg more; how many apples does Tom Smith have after 12 days?")], "item_id long, text string")
     d = spark.createDataFrame([(1, "The 19th and token 24be64439e3e. Ann has 30 apples and buys 7 kg more; how many apples does Ann Smith have after 30 days?")], "doc_id long, text string")
     assert [r["doc_id"] for r in decontam.contaminated(d, b).collect()] == [1]
+
+
+def test_two_variants_of_a_question_in_one_text(spark):
+    q = "Tom has {} apples and buys {} kg more; how many apples does Tom Smith have after {} days?"
+    b = spark.createDataFrame([(1, q.format(12, 5, 12))], "item_id long, text string")
+    own = prose(30, 8)
+    d = spark.createDataFrame([(1, f"{q.format(30, 7, 30)} {own} {q.format(44, 9, 44)}"), (2, f"{q.format(30, 7, 30)} {q.format(44, 9, 44)}"), (3, f"{q.format(30, 7, 31)} {own} {q.format(44, 9, 45)}")], "doc_id long, text string")
+    assert sorted(r["doc_id"] for r in decontam.contaminated(d, b).collect()) == [1, 2]
