@@ -23,7 +23,7 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import map_arrow, materialize, slices, text_of
@@ -33,11 +33,13 @@ RADIUS = 2
 N_PIVOTS = 16
 BUCKET_CAP = 48
 #: Texts drawn to find hot shingles, copies of one among them that make it hot, and the most that are kept.
-HOT_SAMPLE = 20_000
+HOT_SAMPLE = 4_000
 HOT_COUNT = 4
 HOT_MOST = 100_000
 #: Members of one list that are compared in one piece; bounds memory only.
 LIST_CAP = 512
+#: Most pairs whose keys are broadcast to pick their texts.
+BROADCAST_PAIRS = 200_000
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -206,10 +208,11 @@ def similar_groups(docs: DataFrame, words: int = 5, similarity: float = 0.8, id_
     keyed = docs.select(F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit(""))).alias("key"), "text")
     prefixes = materialize(_prefixes(keyed, words, similarity, _hot_shingles(keyed, words)).dropDuplicates(["key"]))
     rows = map_arrow(prefixes, _unfold, "h long, key long, n int, pos int")
-    met = rows.groupBy("h").agg(F.min("key").alias("least"), F.max("key").alias("most")).where("least < most").select("h")
-    rows = materialize(rows.join(met, "h"))
-    hub = rows.groupBy("h").agg(F.min(F.struct("key", "n", "pos")).alias("hub"))
-    star = rows.join(hub, "h").where("key > hub.key").where(_may_reach(similarity, F.col("n"), F.col("pos"), F.col("hub.n"), F.col("hub.pos")))
+    # One exchange: the list's least member and whether it has others, beside each row.
+    mine = Window.partitionBy("h")
+    rows = rows.select("*", F.min(F.struct("key", "n", "pos")).over(mine).alias("hub"), F.max("key").over(mine).alias("most"))
+    rows = materialize(rows.where("hub.key < most").drop("most"))
+    star = rows.where("key > hub.key").where(_may_reach(similarity, F.col("n"), F.col("pos"), F.col("hub.n"), F.col("hub.pos")))
     first = materialize(_alike(star.select(F.col("hub.key").alias("a"), F.col("key").alias("b")).distinct(), keyed, words, similarity))
     roots = components(first)
     rooted = rows.join(roots, rows["key"] == roots["node"], "left").select("h", "key", F.coalesce("root", "key").alias("root"), "n", "pos")
@@ -305,6 +308,8 @@ def _alike(pairs: DataFrame, keyed: DataFrame, words: int, similarity: float) ->
     """The pairs (a, b) of keys whose texts are similar enough."""
     pairs = materialize(pairs)
     members = pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct()
+    if pairs.count() <= BROADCAST_PAIRS:
+        members = F.broadcast(members)  # the texts need no exchange
     sets = materialize(shingle_sets(keyed.join(members, "key", "left_semi"), words).dropDuplicates(["key"]))
     checked = pairs.join(sets.select(F.col("key").alias("a"), F.col("shingles").alias("sa")), "a").join(sets.select(F.col("key").alias("b"), F.col("shingles").alias("sb")), "b")
     return map_arrow(checked.select("a", "b", "sa", "sb"), _jaccard(similarity), "a long, b long")
