@@ -1,28 +1,37 @@
 """Token counts: exact counts at every prefix of a text, by dynamic programming over prefixes.
 
-F(p), the number of tokens of the first p code points, is F(b) + W(text[b:p]), where b is the last space at or before p
-and W counts the tokens of a word's beginning. W is tabulated once per distinct word beginning (words share beginnings,
-as in a trie). A long run of letters is tabulated by the recurrence over last tokens, in time linear in its length.
-With the table, truncation and budget questions are array look-ups: nothing is encoded again.
-
-Edge cases: null text counts as empty; an empty text has an empty table and no tokens; repeated rows give repeated
-results; columns besides the id and the text are ignored. The table holds one integer a code point.
+F(p), the number of tokens of the first p code points, is F(b) + W(text[b:p]), where b is the beginning of the piece
+that holds p (a run of letters or signs, or a digit) and W counts the tokens of a piece's beginning. W is tabulated once
+per distinct beginning (pieces share beginnings, as in a trie). A long run is tabulated by the recurrence over last
+tokens, in time linear in its length. With the table, truncation and budget questions are array look-ups: nothing is
+encoded again.
+
+Edge cases: null text counts as empty; an empty text has an empty table and no tokens; an empty table gives no rows;
+repeated rows give repeated results, null and repeated ids stay as they are; columns besides the id and the text are
+ignored, whatever their names. The table holds one integer a code point, so a very long text takes four bytes a code
+point of a worker's memory; words without a blank of any length are tabulated in linear time.
 """
 
 from __future__ import annotations
 
 import functools
 import json
+import re
+import string
 import unicodedata
+from array import array
 from collections.abc import Iterator
+from itertools import accumulate
+from operator import sub
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import UnitEncoder, map_arrow, slices, text_of
+from .common import SIMPLE, Cache, UnitEncoder, map_arrow, slices, text_of
 
+SIGNS = frozenset(string.punctuation)
 #: Words of more code points are tabulated by the recurrence instead of by their beginnings.
 LONG_WORD = 48
 
@@ -47,12 +56,14 @@ class LastTokenTable:
 
     def fits(self, a: str, b: str, last: bool) -> bool:
         if (a, b, last) not in self.pairs:
+            if len(self.pairs) > 1_000_000:
+                self.pairs.clear()
             got = (self.closed if last else self.open).encode(a + b, add_special_tokens=False).tokens
             self.pairs[a, b, last] = got == [a, b + self.end if last else b]
         return self.pairs[a, b, last]
 
     def counts(self, run: str) -> list[int]:
-        """run: lower-case letters, composed. The count of each beginning."""
+        """run: lower-case letters, composed, or ASCII signs. The count of each beginning."""
         ends = np.cumsum([len(c.encode()) for c in run]).tolist()
         s = self.letters.pre_tokenize_str(run)[0][0]
         n = [0] * (len(s) + 1)
@@ -72,84 +83,98 @@ class LastTokenTable:
 
 
 class PrefixCounter:
-    """Prefix tables of texts for a tokenizer that drops white space (word BPE)."""
+    """Prefix tables of texts for a tokenizer that drops white space (word BPE).
+
+    A piece's table is kept as steps: by how much the count changes with each of its code points. A text's table is the
+    running sum of its pieces' steps; white space has steps of zero.
+    """
 
-    def __init__(self, path: str, most: int = 250_000):
-        self.path, self.most = path, most
+    def __init__(self, path: str, most: int = 600_000):
+        self.path = path
         self.encoder = UnitEncoder(path)
-        self.of_start: dict[str, int] = {}
-        self.of_piece: dict[str, list[int]] = {}
-        self.of_word: dict[str, np.ndarray] = {}
+        self.of_start = Cache(lambda start: len(self.encoder.merged(start)), 2 * most)
+        self.steps = Cache(self._steps, most)
         self.runs: LastTokenTable | None = None
 
     def _count(self, texts: list[str]) -> list[int]:
         found = {t: len(ids) for t, ids in self.encoder.ids(list(dict.fromkeys(texts)))}
         return [found[t] for t in texts]
 
-    def _long(self, word: str) -> list[int]:
-        """Counts of every beginning of a long word, restarting where no token and no normalisation can reach across."""
-        if "<|" in word:
-            return self._count([word[:k] for k in range(1, len(word) + 1)])
+    def _steps(self, piece: str) -> bytes:
+        own = piece.rstrip(" \t\n\r")
+        if len(own) < len(piece):
+            return (self.steps[own] if own else b"") + bytes(2 * (len(piece) - len(own)))
+        if not SIMPLE.fullmatch(own):
+            return _as_steps(self._odd(own))
+        if len(own) > LONG_WORD:
+            return _as_steps(self._run(own))
+        return _as_steps([*map(self.of_start.__getitem__, accumulate(own))])
+
+    def _run(self, run: str) -> list[int]:
+        self.runs = self.runs or LastTokenTable(self.path)
+        return self.runs.counts(run)
+
+    def _odd(self, word: str) -> list[int]:
+        """Counts of every beginning of any word: special strings are one token once whole, and reset what is before."""
+        out: list[int] = []
+        base = 0
+        for part in self.specials.split(word):
+            if part in self.special_strings:
+                # Until its last character a special string is text like any other.
+                begun = self._plain(before + part[:-1])
+                out += [base + x for x in begun[len(before) :]]
+                base += (begun[len(before) - 1] if before else 0) + 1
+                out.append(base)
+                before = ""
+            else:
+                out += [base + x for x in self._plain(part)]
+                before = part
+        return out
+
+    @functools.cached_property
+    def special_strings(self) -> frozenset[str]:
+        return frozenset(t.content for t in self.encoder.tokenizer.get_added_tokens_decoder().values())
+
+    @functools.cached_property
+    def specials(self) -> re.Pattern:
+        return re.compile("(" + "|".join(map(re.escape, sorted(self.special_strings, key=len, reverse=True))) + ")")
+
+    def _plain(self, word: str) -> list[int]:
+        """Counts of every beginning, restarting where no token and no normalisation can reach across."""
         out: list[int] = []
         at = 0
         while at < len(word):
+            signs = word[at] in SIGNS
             end = at + 1
-            while end < len(word) and not _apart(word[end - 1], word[end]):
+            # Signs that a sign comes before are no contraction's beginning: letters after them are apart, too.
+            while end < len(word) and not (_apart(word[end - 1], word[end]) or signs and end - at > 1 and word[end].isascii() and word[end].isalnum()):
+                signs = signs and word[end] in SIGNS
                 end += 1
             piece, base = word[at:end], out[-1] if out else 0
-            if len(piece) > LONG_WORD and all(map(_simple_letter, piece)):
-                self.runs = self.runs or LastTokenTable(self.path)
-                out += [base + x for x in self.runs.counts(piece.lower())]
+            if len(piece) > LONG_WORD and (signs or all(map(_simple_letter, piece))):
+                out += [base + x for x in self._run(piece.lower())]
             else:
                 out += [base + x for x in self._count([piece[:k] for k in range(1, len(piece) + 1)])]
             at = end
         return out
 
-    def _learn(self, words: list[str]) -> None:
-        of_piece = self.of_piece
-        if len(of_piece) > self.most:
-            of_piece.clear()
-        if len(self.of_start) > 3 * self.most:
-            self.of_start.clear()
-        cut = {w: self.encoder.pieces(w) or [] for w in words if w}
-        whole = {w for w, own in cut.items() if sum(map(len, own)) != len(w)}  # library's own rules, or white space inside
-        self._tabulate(list(whole | {p for w, own in cut.items() if w not in whole for p in own}))
+    def _learn_odd(self, words: list[str]) -> None:
+        """Tables of short odd words, all their beginnings in few calls of the library."""
+        starts = list({w[:k] for w in words for k in range(1, len(w) + 1)})
+        found = {t: len(ids) for t, ids in self.encoder.ids(starts)}
         for w in words:
-            c: list[int] = []
-            for p in [w] if w in whole else cut.get(w, ()):
-                base = c[-1] if c else 0
-                c += [base + x for x in of_piece[p]] if base else of_piece[p]
-            c = [*c, c[-1] if c else 0]  # the last: with the space after it
-            self.of_word[w] = np.array(c, dtype=np.int32)
-
-    def _tabulate(self, pieces: list[str]) -> None:
-        """The counts of every beginning of each piece."""
-        of_start = self.of_start
-        pieces = [p for p in pieces if p not in self.of_piece]
-        short = [p for p in pieces if len(p) <= LONG_WORD]
-        new = list({p[:k] for p in short for k in range(1, len(p) + 1)} - of_start.keys())
-        of_start.update((p, len(ids)) for p, ids in self.encoder.ids(new))
-        for p in short:
-            self.of_piece[p] = [of_start[p[:k]] for k in range(1, len(p) + 1)]
-        for p in pieces:
-            if len(p) > LONG_WORD:
-                self.of_piece[p] = self._long(p)
+            self.steps.put(w, _as_steps([found[w[:k]] for k in range(1, len(w) + 1)]))
 
     def tables(self, texts: list[str]) -> list[np.ndarray]:
-        cut = [t.split(" ") for t in texts]
-        if len(self.of_word) > self.most:
-            self.of_word.clear()
-        if new := list({w for words in cut for w in words if w not in self.of_word}):
-            self._learn(new)
-        out, of_word = [], self.of_word
-        for text, words in zip(texts, cut, strict=True):
-            parts = [of_word[w] for w in words]
-            lengths = np.fromiter(map(len, parts), dtype=np.int64, count=len(parts))
-            flat = np.concatenate(parts)
-            ends = np.cumsum(lengths)
-            before = np.cumsum(flat[ends - 1]) - flat[ends - 1]
-            out.append((flat + np.repeat(before, lengths).astype(np.int32))[: len(text)])
-        return out
+        cut = [self.encoder.pieces(t, blanks=True) for t in texts]
+        steps = self.steps
+        if new := [w for w in {w for _, odd in cut for w in odd} if len(w) <= LONG_WORD and steps.lacks(w)]:
+            self._learn_odd(new)
+        return [np.cumsum(np.frombuffer(b"".join(map(steps.__getitem__, own)), np.int16), dtype=np.int32) for own, _ in cut]
+
+
+def _as_steps(counts: list[int]) -> bytes:
+    return array("h", map(sub, counts, [0, *counts])).tobytes()
 
 
 @functools.lru_cache(maxsize=4)
@@ -163,12 +188,19 @@ def _simple_letter(c: str) -> bool:
     return c.isalpha() and len(low) == 1 and not unicodedata.combining(c) and unicodedata.category(c)[0] == "L" and unicodedata.normalize("NFC", low) == low and unicodedata.normalize("NFC", c) == c
 
 
+@functools.lru_cache(maxsize=100_000)
+def _kind(c: str) -> str:
+    """L, N or S (signs and punctuation); empty if normalisation might tie the character to its neighbours."""
+    kind = {"L": "L", "N": "N", "P": "S", "S": "S"}.get(unicodedata.category(c)[0], "")
+    low = c.lower()
+    stable = len(low) == 1 and unicodedata.category(low)[0] == unicodedata.category(c)[0] and unicodedata.is_normalized("NFC", c) and not unicodedata.combining(c)
+    return kind if stable else ""
+
+
 def _apart(a: str, b: str) -> bool:
-    """Whether a word may be cut between these: ASCII characters of different kinds, apostrophes aside, or at a digit."""
-    if a in "'" or b in "'" or not (a.isascii() and b.isascii()):
-        return False
-    kind = lambda c: 0 if c.isalpha() else 1 if c.isdigit() else 2
-    return kind(a) != kind(b) or kind(a) == 1
+    """Whether a word may be cut between these: kinds differ, or digits. An apostrophe may begin a contraction."""
+    left, right = _kind(a), _kind(b)
+    return bool(left and right and a != "'" and (left != right or left == "N") and unicodedata.is_normalized("NFC", a + b))
 
 
 def prefix_token_counts(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -200,7 +232,7 @@ def truncation(prefix_tokens: Column, budget: int) -> Column:
 
 def fits(prefix_tokens: Column, chars: int, budget: int) -> Column:
     """Whether the first `chars` code points keep to the budget."""
-    return F.coalesce(F.try_element_at(prefix_tokens, F.least(F.lit(chars), F.size(prefix_tokens))), F.lit(0)) <= budget
+    return F.coalesce(F.get(prefix_tokens, F.least(F.lit(chars), F.size(prefix_tokens)) - 1), F.lit(0)) <= budget
 
 
 def count_tokens(docs: DataFrame, path: str, limit: int, id_col: str = "doc_id") -> DataFrame:
