@@ -7,10 +7,14 @@ pages. Inference is exact: messages are summed upward to the root and downward a
 text runs whose content marginal exceeds one half are kept.
 
 The labelled pages are drawn by `labelled_pages`, a seeded generator of site layouts (TRAINING_PAGES of them, a bound on
-what the driver fits). Parsing is forgiving: unclosed and misnested tags, comments, raw-text elements.
-
-Edge cases: null or empty html gives the empty text; a page without content gives the empty text; repeated rows repeat;
-other columns are ignored; very deep and very long pages are handled level by level without recursion.
+what the driver fits). Parsing is forgiving: unclosed and misnested tags, comments, raw-text elements. A bracket that
+begins no tag is text; a tag with an unclosed quote ends at the next bracket; of elements whose content is no text an
+unclosed script or style takes the rest of the page, any other unclosed one only its tag.
+
+Edge cases: null or empty html gives the empty text; a page without content gives the empty text; an empty table gives no
+rows; repeated rows and ids repeat, null ids stay null; a marginal of exactly one half counts as no content; other columns
+are ignored, whatever their names; very deep and very long pages are read in linear time and handled level by level
+without recursion (a page and its tree must fit a worker's memory).
 """
 
 from __future__ import annotations
@@ -42,11 +46,17 @@ INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font
 CLOSES_P = frozenset("address article aside blockquote details dialog div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr main menu nav ol p pre section table ul".split())
 CLOSES_SAME = {"li": ("ul", "ol", "menu"), "dt": ("dl",), "dd": ("dl",), "tr": ("table", "tbody", "thead", "tfoot"), "td": ("tr",), "th": ("tr",), "option": ("select",)}
 
-_TAG = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
+_NAME = re.compile(r"/?[a-zA-Z][^\s/<>]*+")
+#: Attributes up to the tag's end. The strict form, in which quotes hold no tags either, costs the tag's own length only.
+_ATTRIBUTES = re.compile(r"(?:[^<>\"']|\"[^\"]*+\"|'[^']*+')*+")
+_STRICT = re.compile(r"(?:[^<>\"']|\"[^\"<>]*+\"|'[^'<>]*+')*+")
 _NAMES = re.compile(r"(?:class|id|role|itemprop)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 _WORD = re.compile(r"[a-z]+")
 _HIDDEN = re.compile(r"\bhidden\b|display\s*:\s*none", re.I)
-_RAW_END = {t: re.compile(rf"</{t}\s*>", re.I) for t in RAW}
+_RAW_END = {t: re.compile(rf"</{t}(?:\s[^>]*+)?>", re.I) for t in RAW}
+#: Elements that may end in "/>" themselves, and those whose content is never text, ended or not.
+EMPTY_FORM = frozenset(("svg", "math"))
+NEVER_TEXT = frozenset(("script", "style"))
 
 
 class Tree:
@@ -66,17 +76,62 @@ class Tree:
         return len(self.tag) - 1
 
 
-@functools.lru_cache(maxsize=20_000)
-def attribute_words(attributes: str) -> tuple[str, ...]:
+def _attribute_words(attributes: str) -> tuple[str, ...]:
     words = [w for m in _NAMES.findall(attributes) for part in m if part for w in _WORD.findall(re.sub(r"([a-z])([A-Z])", r"\1 \2", part).lower())]
     return tuple(dict.fromkeys(words + (["hidden"] if _HIDDEN.search(attributes) else [])))
 
 
+_kept_words = functools.lru_cache(maxsize=20_000)(_attribute_words)
+
+
+def attribute_words(attributes: str) -> tuple[str, ...]:
+    return _kept_words(attributes) if len(attributes) < 500 else _attribute_words(attributes)
+
+
+def markup(page: str, skip: list[int]) -> Iterator[tuple[int, int, str, str]]:
+    """(begin, end, name, attributes) of every piece of markup in order, `/name` for end tags and "" for comments and the
+    like. What follows an unclosed quote is read again without quotes; a `<` that begins no tag is text. The reader may set
+    skip[0]: nothing before that place is looked at."""
+    n, at, read = len(page), 0, 0
+    while (begin := page.find("<", max(at, skip[0]))) >= 0:
+        at = begin + 1
+        if page.startswith("<!--", begin) or page.startswith("<![CDATA[", begin):
+            mark = "-->" if page[begin + 2] == "-" else "]]>"
+            close = page.find(mark, begin + 4)
+            at = n if close < 0 else close + 3
+            yield begin, at, "", ""
+        elif page[at : at + 1] in ("!", "?"):
+            close = page.find(">", at)
+            if close >= 0:
+                at = close + 1
+                yield begin, at, "", ""
+        elif name := _NAME.match(page, at):
+            rest = None
+            if begin >= read:
+                rest = _ATTRIBUTES.match(page, name.end())
+                if page[rest.end() : rest.end() + 1] != ">":
+                    rest, read = None, rest.end()  # up to here only the strict form is tried: each character is read twice at most
+            if rest is None:
+                rest = _STRICT.match(page, name.end())
+                if page[rest.end() : rest.end() + 1] in ('"', "'"):  # an unclosed quote: the tag ends at the first bracket
+                    stop = re.compile("[<>]").search(page, rest.end())
+                    if stop and stop[0] == ">":
+                        at = stop.end()
+                        yield begin, at, name[0].lower(), page[name.end() : stop.start()]
+                    continue
+                if page[rest.end() : rest.end() + 1] != ">":
+                    continue
+            at = rest.end() + 1
+            yield begin, at, name[0].lower(), rest[0]
+
+
 def parse(page: str) -> Tree:
     tree = Tree()
     stack = [0]
     at = 0
     n = len(page)
+    opened: dict[str, int] = defaultdict(int)
+    endless: set[str] = set()
 
     def text(end: int) -> None:
         if end > at and not (run := page[at:end]).isspace():
@@ -84,44 +139,54 @@ def parse(page: str) -> Tree:
         elif end > at:
             tree.add(stack[-1], "#space", (), " ")
 
-    find = _TAG.search
-    while m := find(page, at):
-        text(m.start())
-        at = m.end()
-        tag = m[2]
-        if tag is None:
+    def close(depth: int) -> None:
+        for node in stack[depth:]:
+            opened[tree.tag[node]] -= 1
+        del stack[depth:]
+
+    skip = [0]
+    for begin, end, tag, attributes in markup(page, skip):
+        text(begin)
+        at = end
+        if not tag:
             continue
-        tag = tag.lower()
-        if m[1]:
-            for i in range(len(stack) - 1, 0, -1):
-                if tree.tag[stack[i]] == tag:
-                    del stack[i:]
-                    break
+        if tag[0] == "/":
+            if opened[tag[1:]]:
+                close(next(i for i in range(len(stack) - 1, 0, -1) if tree.tag[stack[i]] == tag[1:]))
+            continue
+        if tag in RAW and not (tag in EMPTY_FORM and attributes.rstrip().endswith("/")):
+            last = None if tag in endless else _RAW_END[tag].search(page, at)
+            if last:
+                at = skip[0] = last.end()
+            elif tag in NEVER_TEXT:
+                at = skip[0] = n
+            else:
+                endless.add(tag)
             continue
-        if tag in RAW:
-            if end := _RAW_END[tag].search(page, at):
-                at = end.end()
-            elif tag != "title":
-                at = n
+        if tag in EMPTY_FORM:
             continue
-        if tag in CLOSES_P:
+        if tag in CLOSES_P and opened["p"]:
             for i in range(len(stack) - 1, 0, -1):
                 if (t := tree.tag[stack[i]]) == "p":
-                    del stack[i:]
+                    close(i)
                     break
                 if t not in INLINE:
                     break
         if tag in CLOSES_SAME:
-            for i in range(len(stack) - 1, 0, -1):
-                if (t := tree.tag[stack[i]]) == tag or tag in ("dt", "dd") and t in ("dt", "dd") or tag in ("td", "th") and t in ("td", "th"):
-                    del stack[i:]
-                    break
-                if t in CLOSES_SAME[tag]:
-                    break
-        node = tree.add(stack[-1], tag, attribute_words(m[3]) if m[3] and not m[3].isspace() else ())
-        if tag not in VOID and not m[3].rstrip().endswith("/"):
+            alike = ("dt", "dd") if tag in ("dt", "dd") else ("td", "th") if tag in ("td", "th") else (tag,)
+            if any(opened[t] for t in alike):
+                for i in range(len(stack) - 1, 0, -1):
+                    if (t := tree.tag[stack[i]]) in alike:
+                        close(i)
+                        break
+                    if t in CLOSES_SAME[tag]:
+                        break
+        node = tree.add(stack[-1], tag, attribute_words(attributes) if attributes and not attributes.isspace() else ())
+        if tag not in VOID and not attributes.rstrip().endswith("/"):
             stack.append(node)
-    text(n)
+            opened[tag] += 1
+    if at < n:
+        text(n)
     return tree
 
 
