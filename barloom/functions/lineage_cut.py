@@ -2,17 +2,24 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import tempfile
+
+from pyspark.sql import DataFrame, SparkSession
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """spark.checkpoint.dir; where it is unset, a folder of this machine, which only a local master can share."""
+    shared = spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    if shared is not None:
+        return shared.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+    return tempfile.mkdtemp(prefix="barloom-shared-")
 
 
 def materialize(df: DataFrame) -> DataFrame:
-    """df written to the shared checkpoint folder and read again; an own folder only where none is set."""
+    """df written to the shared checkpoint folder and read again."""
     sc = df.sparkSession.sparkContext
     if sc._jsc.sc().getCheckpointDir().isEmpty():
-        shared = sc.getConf().get("spark.checkpoint.dir")
-        if shared is None:
-            import tempfile
-
-            shared = tempfile.mkdtemp(prefix="barloom-checkpoint-")
-        sc.setCheckpointDir(shared)
+        sc.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint(eager=True)
