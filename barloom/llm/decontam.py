@@ -8,9 +8,15 @@ of one occurrence of an item, each slot value of the item stands for one value o
 document if the matched windows, verbatim or consistent, of its best occurrence (or all of the document's, if consistent
 as a whole) cover at least `min_share` of the item's windows.
 
-Edge cases: null or empty texts have no windows; an item or document of fewer tokens than `window` has one window of all
-its tokens (an item of fewer than `min_literals` literal tokens in every window cannot be found); repeated rows are judged
-alike, each by its id and text; null ids are kept; an empty benchmark finds nothing.
+An item of fewer tokens than `window` has one window of all its tokens, looked for at its own length. Windows of fewer
+than `min_literals` literal tokens say too little as templates; an item that has no others (made of numbers and names) is
+looked for verbatim, by the raw tokens of its full windows. Only an item that is both shorter than `window` and of fewer
+than `min_literals` literal tokens cannot be told from chance and is not looked for.
+
+Edge cases: null or empty texts have no windows; repeated rows are judged alike, each by its id and text; null ids are
+kept; items that match equally well are all reported, and of an item's equally good occurrences the first counts; an empty
+benchmark finds nothing, an empty table of documents gives no rows; other columns may have any names; a very long text is
+one row's array of tokens, and its windows are made one by one as they are joined.
 """
 
 from __future__ import annotations
@@ -58,48 +64,73 @@ def raw_tokens(text: Column) -> Column:
     return F.regexp_extract_all(F.lower(text), F.lit(f"{_NUMBER}|{_LETTERS}|{_SIGNS}"), F.lit(0))
 
 
-def _pair(i: Column) -> Column:
-    return F.xxhash64(F.get("__c", i), F.get("__c", i + 1))
+def _pair(i: Column, length: int) -> Column:
+    return F.xxhash64(*[F.get("__c", i + j) for j in range(min(length, 2))])
 
 
-def windows(rows: DataFrame, keys: list[str], window: int, heads: list[int] | None = None) -> DataFrame:
-    """(keys, h, head, pos): the hash of every window and of its first two tokens. heads: only windows that begin so."""
-    t = rows.select(*keys, canonical(F.coalesce(F.col("__text").cast("string"), F.lit(""))).alias("__c"))
+def windows(rows: DataFrame, keys: list[str], lengths: dict[int, list[int] | None], tokens=canonical) -> DataFrame:
+    """(keys, h, head, pos): the hash of every window and of its first two tokens.
+
+    lengths: the windows' lengths, each with the heads to which windows are limited (None: all).
+    """
+    t = rows.select(*keys, tokens(F.coalesce(F.col("__text").cast("string"), F.lit(""))).alias("__c"))
     # Element access is constant-time; slice() would copy the whole array for every window. No filter on the array here:
     # pushed down, it would evaluate the tokens inside lambdas, once an element.
-    starts = F.sequence(F.lit(0), F.greatest(F.size("__c") - window, F.lit(0)))
-    if heads is not None:
-        starts = F.filter(starts, lambda i: _pair(i).isin(heads))
-
-    def one(i: Column) -> Column:
-        return F.struct(F.xxhash64(*[F.get("__c", i + j) for j in range(window)]).alias("h"), _pair(i).alias("head"), i.alias("pos"))
-
-    return t.select(*keys, F.explode(F.when(F.size("__c") > 0, F.transform(starts, one))).alias("w")).select(*keys, "w.*")
-
 
-def item_windows(benchmark: DataFrame, window: int) -> DataFrame:
-    """(item_id, h, head, item_pos, slots): slots: (j, value) of the window's replaced tokens; null if there are none."""
-    rows = benchmark.select("item_id", F.col("text").alias("__text"))
-    found = windows(rows.select("item_id", F.struct("item_id", "__text").alias("__k"), "__text"), ["item_id", "__k"], window)
-    text = F.col("__k.__text")
-    found = found.select("item_id", "h", "head", F.col("pos").alias("item_pos"), canonical(text).alias("c"), raw_tokens(text).alias("r"))
-    at = F.filter(F.sequence(F.lit(0), F.lit(window - 1)), lambda j: F.coalesce(F.get("c", F.col("item_pos") + j).startswith("#"), F.lit(False)))
-    slots = F.transform(at, lambda j: F.struct(j.alias("j"), F.get("r", F.col("item_pos") + j).alias("v")))
-    return found.select("item_id", "h", "head", "item_pos", F.when(F.size(slots) > 0, slots).alias("slots")).distinct()
+    def of_length(n: int, heads: list[int] | None) -> Column:
+        starts = F.when(F.size("__c") >= n, F.sequence(F.lit(0), F.size("__c") - n))
+        if heads is not None:
+            starts = F.filter(starts, lambda i: _pair(i, n).isin(heads))
+        return F.transform(starts, lambda i: F.struct(F.xxhash64(*[F.get("__c", i + j) for j in range(n)]).alias("h"), _pair(i, n).alias("head"), i.alias("pos")))
+
+    found = [t.select(*keys, F.explode(of_length(n, heads)).alias("w")).select(*keys, "w.*", F.lit(n).alias("length")) for n, heads in sorted(lengths.items())]
+    out = found[0]
+    for other in found[1:]:
+        out = out.unionByName(other)
+    return out
+
+
+def item_windows(benchmark: DataFrame, window: int, min_literals: int) -> DataFrame:
+    """(item_id, h, head, item_pos, length, slots, verbatim): slots: (j, value) of a window's replaced tokens, null if there
+    are none. verbatim: hashed by raw tokens, for items without a window of enough literal tokens."""
+    rows = benchmark.select("item_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    rows = rows.select("item_id", canonical(F.col("text")).alias("c"), raw_tokens(F.col("text")).alias("r"))
+    length = F.least(F.lit(window), F.size("c"))
+    cut = rows.select("*", length.alias("length"), F.explode(F.when(F.size("c") > 0, F.sequence(F.lit(0), F.size("c") - length))).alias("item_pos"))
+    token = lambda a, j: F.when(j < F.col("length"), F.get(a, F.col("item_pos") + j))
+    at = F.filter(F.sequence(F.lit(0), F.col("length") - 1), lambda j: token("c", j).startswith("#"))
+    slots = F.transform(at, lambda j: F.struct(j.alias("j"), token("r", j).alias("v")))
+    hashes = [x for a in "cr" for x in (F.xxhash64(*[token(a, F.lit(j)) for j in range(window)]).alias(f"{a}_h"), F.xxhash64(token(a, F.lit(0)), token(a, F.lit(1))).alias(f"{a}_head"))]
+    made = cut.select("item_id", "item_pos", "length", F.when(F.size(slots) > 0, slots).alias("slots"), *hashes)
+    made = made.withColumn("literal", F.col("length") - F.coalesce(F.size("slots"), F.lit(0)) >= min_literals)
+    made = made.withColumn("any_literal", F.max("literal").over(Window.partitionBy("item_id")))
+    made = made.where(F.col("literal") | ~F.col("any_literal") & (F.col("length") == window))
+    pick = lambda x: F.when(F.col("literal"), F.col(f"c_{x}")).otherwise(F.col(f"r_{x}")).alias(x)
+    return made.select("item_id", pick("h"), pick("head"), "item_pos", "length", F.when(F.col("literal"), F.col("slots")).alias("slots"), (~F.col("literal")).alias("verbatim")).distinct()
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, min_share: float = MIN_SHARE, min_literals: int = MIN_LITERALS, id_col: str = "doc_id") -> DataFrame:
     """(id, text_key, item_id, item_windows, matched_windows, verbatim_windows, n_slots): an item found in a document."""
-    items = materialize(item_windows(benchmark, window).where(window - F.coalesce(F.size("slots"), F.lit(0)) >= min_literals))
+    items = materialize(item_windows(benchmark, window, min_literals))
     totals = items.groupBy("item_id").agg(F.countDistinct("item_pos").alias("item_windows"))
-    heads = None
-    if items.count() <= BROADCAST_ROWS:
-        # Bounded: the windows' first pairs go along as a set, so that few windows of documents are built and joined.
-        heads = [r[0] for r in items.select("head").distinct().collect()]
-        items = F.broadcast(items)
+    kinds = [(r["verbatim"], r["length"]) for r in items.select("verbatim", "length").distinct().collect()]  # one length each, `window` at most
+    small = items.count() <= BROADCAST_ROWS
     key = F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")))
     own = docs.select(F.col(id_col).alias("__id"), key.alias("__key"), F.col("text").alias("__text"))
-    hits = windows(own, ["__id", "__key"], window, heads).join(items.drop("head"), "h").select("__id", "__key", "item_id", "item_pos", "pos", F.col("slots").alias("item_slots")).distinct()
+    hits = None
+    for verbatim, tokens in ((False, canonical), (True, raw_tokens)):
+        lengths = {n: None for v, n in kinds if v == verbatim}
+        if not lengths and (verbatim or hits is not None or kinds):
+            continue
+        mine = items.where(F.col("verbatim") == verbatim)
+        if small:
+            # Bounded: the windows' first pairs go along as a set, so that few windows of documents are built and joined.
+            lengths = {n: [r[0] for r in mine.where(F.col("length") == n).select("head").distinct().collect()] for n in lengths}
+            mine = F.broadcast(mine)
+        found = windows(own, ["__id", "__key"], lengths or {window: []}, tokens).join(mine.drop("head", "verbatim"), ["h", "length"])
+        found = found.select("__id", "__key", "item_id", "item_pos", "pos", F.col("slots").alias("item_slots"))
+        hits = found if hits is None else hits.unionByName(found)
+    hits = hits.distinct()
     hits = materialize(hits)
     # Slot values are fetched for windows that have slots only.
     slotted = hits.where(F.col("item_slots").isNotNull())
@@ -135,4 +166,6 @@ def keep_uncontaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """Stage form: documents in which no item is found, all columns as they came."""
     found = contaminated(docs, benchmark).select(F.col("doc_id").alias("__id"), F.col("text_key").alias("__key")).distinct()
     key = F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")))
-    return docs.join(found, F.col("doc_id").eqNullSafe(F.col("__id")) & (key == F.col("__key")), "left_anti")
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("doc_id").alias("own_id"), key.alias("own_key"))
+    kept = rows.join(found, F.col("own_id").eqNullSafe(F.col("__id")) & (F.col("own_key") == F.col("__key")), "left_anti")
+    return kept.select(*[F.col("row").getField(c).alias(c) for c in docs.columns])
