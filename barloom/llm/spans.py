@@ -3,11 +3,14 @@
 A text is cut into sentences (ends: . ! ? followed by white space, or a line break). From each sentence the shortest run
 of at least `min_sentences` sentences and `min_words` words is a span (a single sentence of `lone_words` words also is
 one). Spans are hashed and grouped over all documents; the first occurrence, by (document id, text hash, position),
-stays, and sentences covered by any other occurrence are removed.
+stays, and sentences covered by any other occurrence are removed. Partial sentences at a passage's edges stay.
 
 Edge cases: null or empty text has no sentences and stays as it is; rows with the same id and text count as one
-occurrence and are treated alike, rows with the same id and different texts are told apart by their text; null ids come
-last; every occurrence after the first within one document is removed, too; other columns pass through.
+occurrence and are treated alike, rows with the same id and different texts are told apart by their text (31 bits of its
+hash); null ids come last, told apart by 62 bits of the text's hash, in the order of those; every occurrence after the
+first within one document is removed, too; of occurrences with the same id and text, the first by position stays; an empty
+table gives no rows; other columns pass through, whatever their names; a very long text is cut and joined sentence by
+sentence, and its positions are counted in 31 bits.
 """
 
 from __future__ import annotations
@@ -24,7 +27,7 @@ from .common import map_arrow, slices
 
 MIN_SENTENCES = 2
 MIN_WORDS = 12
-LONE_WORDS = 50
+LONE_WORDS = 20
 NO_ID = 2**63 - 1
 _SENTENCE = re.compile(r"[^\n]*?(?:[.!?](?=\s)\s*|\n\s*|\Z)|\s+", re.S)
 
@@ -70,7 +73,9 @@ def spans(docs: DataFrame, id_col: str = "doc_id") -> DataFrame:
 
 
 def _id(id_col: str):
-    return F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("id")
+    """Null ids take the last 2**31 numbers, by a hash of the text."""
+    none = F.lit(NO_ID) - F.xxhash64(F.lit(1), F.col("text").cast("string")).bitwiseAND(F.lit(2**31 - 1))
+    return F.coalesce(F.col(id_col).cast("long"), none).alias("id")
 
 
 def _key():
@@ -90,13 +95,13 @@ def repeated(docs: DataFrame, id_col: str = "doc_id") -> DataFrame:
     return again.groupBy("id", (F.col("at") - F.col("at").bitwiseAND(low)).alias("key")).agg(F.collect_set(F.struct(F.col("at").bitwiseAND(low).cast("int").alias("i"), "n")).alias("cover"))
 
 
-def remove_repeats(docs: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """The rows with text cut, all other columns as they came, and __n_sentences, __n_removed (null text: 0)."""
-    cover = repeated(docs, id_col).select(F.col("id").alias("__id"), F.col("key").alias("__key"), F.col("cover").alias("__cover"))
-    mine = [F.col(f"`{c}`") for c in docs.columns]
-    marked = docs.select(F.struct(*mine).alias("row"), _id(id_col), _key(), F.col("text").cast("string").alias("text"))
-    joined = marked.join(cover, (F.col("id") == F.col("__id")) & (F.coalesce("at", F.lit(0)) == F.col("__key")), "left")
-    kinds = docs.select(F.struct(*mine).alias("row")).schema["row"].dataType.simpleString()
+def _cut(docs: DataFrame, id_col: str) -> DataFrame:
+    """(row, text, n_all, n_cut): the rows as structures, their text without repeats, sentences and removed sentences."""
+    cover = repeated(docs, id_col).select(F.col("id").alias("c_id"), F.col("key").alias("c_key"), "cover")
+    mine = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+    marked = docs.select(mine, _id(id_col), _key(), F.col("text").cast("string").alias("text"))
+    joined = marked.join(cover, (F.col("id") == F.col("c_id")) & (F.coalesce("at", F.lit(0)) == F.col("c_key")), "left")
+    kinds = docs.select(mine).schema["row"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
@@ -109,16 +114,26 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id") -> DataFrame:
                 n_cut.append(len(gone))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string()), pa.array(n_all, pa.int32()), pa.array(n_cut, pa.int32())], ["row", "text", "n_all", "n_cut"])
 
-    cut = map_arrow(joined.select("row", "text", "__cover"), run, f"row {kinds}, text string, n_all int, n_cut int")
-    return cut.select(*[F.col("text") if c == "text" else F.col("row").getField(c).alias(c) for c in docs.columns], F.col("n_all").alias("__n_sentences"), F.col("n_cut").alias("__n_removed"))
+    return map_arrow(joined.select("row", "text", "cover"), run, f"row {kinds}, text string, n_all int, n_cut int")
+
+
+def _columns(docs: DataFrame) -> list:
+    """The documents' own columns out of `_cut`, with the new text."""
+    return [F.col("text").alias(c) if c.lower() == "text" else F.col("row").getField(c).alias(c) for c in docs.columns]
+
+
+def remove_repeats(docs: DataFrame, id_col: str = "doc_id") -> DataFrame:
+    """The rows with text cut, all other columns as they came."""
+    return _cut(docs, id_col).select(*_columns(docs))
 
 
 def dedup_substrings(docs: DataFrame, id_col: str = "doc_id") -> DataFrame:
     """(id, n_sentences, n_removed, text): the query's form."""
-    return remove_repeats(docs.select(id_col, "text"), id_col).select(id_col, F.col("__n_sentences").alias("n_sentences"), F.col("__n_removed").alias("n_removed"), "text")
+    own = docs.select(F.col(id_col).alias(id_col), F.col("text").alias("text"))
+    return _cut(own, id_col).select(F.col("row").getField(id_col).alias(id_col), F.col("n_all").alias("n_sentences"), F.col("n_cut").alias("n_removed"), "text")
 
 
 def keep_unrepeated(docs: DataFrame) -> DataFrame:
     """Stage form: the documents' own columns; a document of which nothing but repeats is left goes."""
-    cut = remove_repeats(docs)
-    return cut.where((F.col("__n_removed") == 0) | (F.trim(F.col("text")) != "")).select(*docs.columns)
+    cut = _cut(docs, "doc_id")
+    return cut.where((F.col("n_cut") == 0) | (F.trim(F.col("text")) != "")).select(*_columns(docs))
