@@ -54,4 +54,4 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_quality_rules": quality.ORACLE_SQL}
+    return {"op3_quality_rules": quality.ORACLE_SQL, "op10_url_filter": urls.oracle_sql()}

@@ -5,11 +5,13 @@ extension); of other segments, those of a branch that hold fewer than `min_share
 labelled purity does not differ from the parent's by more than `z` standard errors, are merged into `{*}`. A template is
 rejected if its purity, smoothed towards that of all labelled pages with `prior` pseudo-labels, is below `min_purity` and
 `min_labels` labels support it. Counts are partial sums before every shuffle; the tree has a bounded depth, deeper
-segments fold into one `{**}`.
+segments fold into one `{**}`. All rates are smoothed alike: (good + 1) / (labelled + 2).
 
 Purity: good labels (quality 1 and not toxic) over all labels; a page's label is that of the document whose number its
 path carries. Edge cases: null urls and urls without :// have empty host and path and fall to the template `` of the
-empty host; ties of rules are broken by length, then name; an empty label table rejects nothing; repeated rows repeat.
+empty host; ties of rules are broken by length, then name; an empty label table rejects nothing, an empty table of pages
+gives no rows; repeated rows and ids repeat and count as often as they occur; several labels of one document are all to be
+good; other columns may have any names; a very long url is one string, folded into a template of at most DEPTH + 1 segments.
 """
 
 from __future__ import annotations
@@ -79,10 +81,10 @@ def templates(urls: DataFrame, depth: int = DEPTH, min_share: float = 0.01, z: f
 
 def purity(tree: DataFrame, prior: float = 20.0, min_purity: float = 0.5, min_labels: int = 10) -> DataFrame:
     """(host, template, n, labelled, good, purity, reject)."""
-    total = tree.agg(((F.sum("good") + 1) / (F.sum("labelled") + 1)).alias("overall"))  # one row
+    total = tree.agg(((F.sum("good") + 1) / (F.sum("labelled") + 2)).alias("overall"))  # one row
     by = tree.groupBy("host", "template").agg(*[F.sum(c).alias(c) for c in ("n", "labelled", "good")])
     by = by.join(F.broadcast(total), F.lit(True), "inner")
-    smooth = (F.col("good") + prior * F.least("overall", F.lit(1.0))) / (F.col("labelled") + prior)
+    smooth = (F.col("good") + prior * F.col("overall")) / (F.col("labelled") + prior)
     return by.select("host", "template", "n", "labelled", "good", smooth.alias("purity"), F.coalesce((smooth < min_purity) & (F.col("labelled") >= min_labels), F.lit(False)).alias("reject"))
 
 
@@ -98,3 +100,28 @@ def judge(pages: DataFrame, labels: DataFrame, rules=RULES, **how) -> DataFrame:
     verdicts = tree.join(purity(tree, **how).select("host", "template", "reject"), ["host", "template"]).select("host", "segs", F.concat(F.lit("/"), F.array_join("template", "/")).alias("template"), "reject")
     done = base.join(verdicts, ["host", "segs"], "left")
     return done.select("page_id", "host", "path", "rule", "template", F.coalesce("ruled", F.when(F.coalesce("reject", F.lit(False)), "block").otherwise("allow")).alias("verdict"))
+
+
+def oracle_sql(rules=RULES, depth: int = DEPTH, min_share: float = 0.01, z: float = 2.0, prior: float = 20.0, min_purity: float = 0.5, min_labels: int = 10) -> str:
+    """The rows of `judge` in DuckDB's SQL; a template is kept as one string."""
+    fits = lambda d, rest: f"(host = '{d}' OR ends_with(host, '.{d}')) AND starts_with(path, '/{rest}')"
+    ordered = sorted(rules, key=lambda r: (len(r[0]), r[0]), reverse=True)
+    case = lambda pick: "CASE " + " ".join(f"WHEN {fits(r[0].partition('/')[0], r[0].partition('/')[2])} THEN '{r[pick]}'" for r in ordered) + " END"
+    levels = []
+    for i in range(depth + 1):
+        levels.append(f"""t{i}s AS (SELECT *, coalesce(segs[{i + 1}], '') AS seg FROM t{i}),
+b{i} AS (SELECT host, tpl, seg, sum(n) AS n, sum(labelled) AS labelled, sum(good) AS good FROM t{i}s GROUP BY 1, 2, 3),
+p{i} AS (SELECT host, tpl, sum(n) AS pn, (sum(good) + 1)::DOUBLE / (sum(labelled) + 2) AS rate FROM b{i} GROUP BY 1, 2),
+m{i} AS (SELECT host, tpl, seg, CASE WHEN seg = '' THEN '' WHEN contains(seg, '{{n}}') OR starts_with(seg, '{{*') THEN seg
+ WHEN n < {min_share} * pn OR abs((good + 1)::DOUBLE / (labelled + 2) - rate) <= {z} * sqrt(rate * (1 - rate) / (labelled + 1)) AND n < pn THEN '{{*}}' ELSE seg END AS nm FROM b{i} JOIN p{i} USING (host, tpl)),
+t{i + 1} AS (SELECT host, segs, n, labelled, good, CASE WHEN nm = '' THEN tpl ELSE tpl || '/' || nm END AS tpl FROM t{i}s JOIN m{i} USING (host, tpl, seg))""")
+    return f"""WITH u AS (SELECT page_id, translate(coalesce(regexp_extract(url, '^.*?://([^/?#]*)', 1, 's'), ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host, coalesce(regexp_extract(url, '^.*?://[^/?#]*([^?#]*)', 1, 's'), '') AS path FROM pages),
+s AS (SELECT *, {case(0)} AS rule, {case(1)} AS ruled, list_transform(list_filter(string_split(path, '/'), lambda x: x <> ''), lambda x: regexp_replace(x, '[0-9]+', '{{n}}', 'g')) AS parts, try_cast(regexp_extract(path, '([0-9]+)', 1) AS BIGINT) AS number FROM u),
+base AS (SELECT page_id, host, path, rule, ruled, number, CASE WHEN len(parts) > {depth} THEN list_append(parts[1:{depth}], '{{**}}') ELSE parts END AS segs FROM s),
+known AS (SELECT doc_id, min(CASE WHEN quality = 1 AND coalesce(toxic, 0) = 0 THEN 1 ELSE 0 END) AS ok FROM labels WHERE doc_id IS NOT NULL AND quality IS NOT NULL GROUP BY 1),
+t0 AS (SELECT host, segs, count(*) AS n, count(ok) AS labelled, coalesce(sum(ok), 0) AS good, '' AS tpl FROM base LEFT JOIN known ON number = doc_id GROUP BY 1, 2),
+{",".join(levels)},
+o AS (SELECT (sum(good) + 1)::DOUBLE / (sum(labelled) + 2) AS overall FROM t{depth + 1}),
+v AS (SELECT host, tpl, (sum(good) + {prior} * any_value(overall)) / (sum(labelled) + {prior}) < {min_purity} AND sum(labelled) >= {min_labels} AS reject FROM t{depth + 1}, o GROUP BY 1, 2)
+SELECT page_id, base.host, path, rule, CASE WHEN tpl = '' THEN '/' ELSE tpl END AS template, coalesce(ruled, CASE WHEN reject THEN 'block' ELSE 'allow' END) AS verdict
+FROM base JOIN (SELECT host, segs, tpl, reject FROM t{depth + 1} JOIN v USING (host, tpl)) AS w ON base.host = w.host AND base.segs = w.segs"""
