@@ -6,8 +6,10 @@ fits, in O(log capacity). Every input partition is packed by itself, block by bl
 by the block. A row of the matrix: ids as little-endian integers padded to the width, cumulative segment lengths, the
 positions at which position ids restart, and where each segment lies in its document.
 
-Edge cases: null text counts as empty (only the separator); repeated rows are written as often as they occur; an empty
-table gives no rows; other columns are ignored.
+Edge cases: null text counts as empty (only the separator); repeated rows are written as often as they occur; null ids
+stay null; an empty table gives no rows; other columns are ignored, whatever their names; of rests of one size the first
+comes first, and of open rows with the same room the last opened is taken; a very long text is cut into whole rows as it
+comes, its ids (two bytes a token) in memory.
 """
 
 from __future__ import annotations

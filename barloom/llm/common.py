@@ -12,6 +12,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.lineage_cut import materialize  # noqa: F401
+
 #: Rows of one Arrow batch sent to a Python worker, and rows handled at a time inside it. Both bound memory only.
 ARROW_ROWS = 512
 SLICE_ROWS = 256
@@ -22,7 +24,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def small_batches(spark: SparkSession) -> None:
-    """Keep Arrow batches small: a batch of long documents must fit a worker beside its results."""
+    """Keep Arrow batches small: a batch of long documents must fit a worker beside its results.
+
+    A session setting, read when a plan runs; it stays set, since the plans are lazy.
+    """
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
 
 
@@ -37,19 +42,6 @@ def slices(batches: Iterable[pa.RecordBatch], rows: int = SLICE_ROWS) -> Iterato
             yield batch.slice(at, rows)
 
 
-def materialize(df: DataFrame) -> DataFrame:
-    """Cut the lineage with a reliable checkpoint in the cluster's shared folder (own folder only where none is set)."""
-    sc = df.sparkSession.sparkContext
-    if sc._jsc.sc().getCheckpointDir().isEmpty():
-        shared = sc.getConf().get("spark.checkpoint.dir")
-        if shared is None:
-            import tempfile
-
-            shared = tempfile.mkdtemp(prefix="barloom-checkpoint-")
-        sc.setCheckpointDir(shared)
-    return df.checkpoint(eager=True)
-
-
 def text_of(name: str = "text"):
     """A text column; null counts as empty."""
     return F.coalesce(F.col(name).cast("string"), F.lit("")).alias("text")

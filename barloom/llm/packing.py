@@ -7,7 +7,9 @@ other, until one partition is left. If its fullest window exceeds the capacity,
 differenced anew.
 
 Edge cases: null text counts as empty (its ids are the separator alone); repeated rows are packed as often as they
-occur; an empty table gives no rows; other columns are ignored. A partition's last block may be short of whole windows.
+occur; null ids stay null; an empty table gives no rows; other columns are ignored, whatever their names; equal imbalances
+are taken in the pieces' order; a very long text is cut into whole windows as it comes, its ids (four bytes a token) in
+memory. A partition's last block may be short of whole windows: about one window of padding a partition.
 """
 
 from __future__ import annotations

@@ -5,7 +5,9 @@ versioned mask of the rules that reject; applying one, comparing versions, or as
 (`ablation`) are bit operations on the ledger, whose counts are first summed by bit pattern. DataFrame functions only.
 
 Edge cases: null or empty text has no words and fails `few_words`; a document of under three words has no 3-word window;
-repeated rows are judged each by itself; columns of the input besides id and text never enter the ledger.
+repeated rows are judged each by itself; an empty table gives an empty ledger; null ids stay null; bounds are strict, so a
+measurement that equals one passes; columns of the input besides id and text never enter the ledger, whatever their names;
+a very long text is measured whole, its words an array in memory.
 """
 
 from __future__ import annotations

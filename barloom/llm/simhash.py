@@ -12,7 +12,9 @@
 
 Edge cases: null or empty text has the fingerprint 0 and is linked like any other; with fewer words than a shingle the
 whole word sequence is one shingle; null ids take part but never name a component unless all its ids are null; repeated
-rows repeat; other columns are ignored.
+rows repeat; an empty table gives no rows; ties of the least id are one id, and of equal (id, text) rows `drop_near_duplicates`
+keeps one, all of whose columns then come from one row; other columns may have any names; a very long text is hashed in one
+pass, its shingles' hashes (eight bytes a word) in memory. Texts are known by a 64-bit hash.
 """
 
 from __future__ import annotations
@@ -182,10 +184,7 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, words: int = 3, id_col: str = "doc_id") -> DataFrame:
-    """(id, fingerprint, component_id, n_links): contract form, one row a document.
-
-    n_links: number of other fingerprints that were found linked to the document's own (a spanning part of all).
-    """
+    """(id, fingerprint, component_id): contract form, one row a document."""
     fps = materialize(fingerprints(docs, words, id_col))
     classes = fps.groupBy("fp").agg(F.min(id_col).alias("first"))
     found = links(classes.select(F.lit(0).alias("space"), "fp"))
@@ -345,13 +344,13 @@ def _jaccard(similarity: float):
 
 def drop_near_duplicates(docs: DataFrame, similarity: float = 0.8, words: int = 5) -> DataFrame:
     """One row of each group stays: the least (doc_id, text hash) of it. All columns as they came."""
-    roots = materialize(similar_groups(docs, words, similarity))
+    roots = materialize(similar_groups(docs.select("doc_id", "text"), words, similarity))
     key = F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")))
-    slim = docs.select("doc_id", key.alias("__key")).join(roots, F.col("__key") == F.col("node"), "left")
-    slim = slim.select(F.coalesce("root", "__key").alias("root"), F.struct(F.coalesce(F.col("doc_id").cast("long"), F.lit(2**63 - 1)).alias("d"), F.col("__key").alias("k")).alias("me"))
+    slim = docs.select("doc_id", key.alias("own_key")).join(roots, F.col("own_key") == F.col("node"), "left")
+    slim = slim.select(F.coalesce("root", "own_key").alias("root"), F.struct(F.coalesce(F.col("doc_id").cast("long"), F.lit(2**63 - 1)).alias("d"), F.col("own_key").alias("k")).alias("me"))
     stays = slim.groupBy("root").agg(F.min("me").alias("me")).select("me.*")
     mine = [F.col(f"`{c}`") for c in docs.columns]
-    marked = docs.select(F.struct(*mine).alias("__row"), F.coalesce(F.col("doc_id").cast("long"), F.lit(2**63 - 1)).alias("d"), key.alias("k"))
+    marked = docs.select(F.struct(*mine).alias("row"), F.coalesce(F.col("doc_id").cast("long"), F.lit(2**63 - 1)).alias("d"), key.alias("k"))
     # Rows equal in both are copies of each other: one of them stays.
     kept = marked.join(stays, ["d", "k"], "left_semi")
-    return kept.dropDuplicates(["d", "k"]).select(*[F.col("__row").getField(c).alias(c) for c in docs.columns])
+    return kept.dropDuplicates(["d", "k"]).select(*[F.col("row").getField(c).alias(c) for c in docs.columns])
