@@ -6,6 +6,7 @@ Each builder returns {name: Column}; `add` projects them at once, so windows of
 from __future__ import annotations
 
 import math
+from contextvars import ContextVar
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -13,9 +14,14 @@ from pyspark.sql import functions as F
 from ..functions.catalog import BARS_PER_YEAR
 
 ANNUAL = math.sqrt(BARS_PER_YEAR)
-def W():
-    return Window.partitionBy("symbol").orderBy("time")
+#: What windows partition by while columns are built; `all_features` adds the chunk.
+_KEYS: ContextVar[tuple[str, ...]] = ContextVar("keys", default=("symbol",))
+#: Rows that the widest chain of windows looks back: 200 of a moving average and one of its slope, and some to spare.
+REACH = 256
+
 
+def W():
+    return Window.partitionBy(*_KEYS.get()).orderBy("time")
 
 
 def C() -> Column:
@@ -160,14 +166,22 @@ def rolling_stats(spans=(20, 50)) -> dict[str, Column]:
     return out
 
 
+def _windowed(bars: DataFrame) -> DataFrame:
+    level1 = {**returns(), **candle_shape(), **sma_family(), **bollinger(), **volume_features(), **structure_patterns(), **rolling_stats(), **atr()[0], **stochastic()[0], **parkinson()[0], **vwap()[0]}
+    level2 = {**sma_slopes(), **atr()[1], **stochastic()[1], **volatility(), **parkinson()[1], **vwap()[1]}
+    return add(bars, level1, level2, vwap()[2])
+
+
 def all_features(bars: DataFrame) -> DataFrame:
-    """The full set: scalars, lags and rolling, their dependents, then the recurrences."""
-    from .recurrence import ema_family, macd, rsi_wilder
-
-    level1 = {**returns(), **candle_shape(), **sma_family(), **bollinger(), **volume_features(), **calendar_features(), **cyclic_features(), **session_features(), **structure_patterns(), **rolling_stats(), **atr()[0], **stochastic()[0], **parkinson()[0], **vwap()[0]}
-    level2 = {**sma_slopes(), **atr()[1], **stochastic()[1], **volatility(), **parkinson()[1], **vwap()[1], **cumulative_returns()}
-    t = add(bars, level1, level2, vwap()[2])
-    t = macd(ema_family(t))
-    for n in (14, 21, 28):
-        t = rsi_wilder(t, n)
-    return t.drop("__tr", "__hl", "__cv")
+    """The full set: rolling columns and recurrences in one pass chunk by chunk, then scalars and sums by day and week."""
+    from .blocks import chunked, numbered
+    from .recurrence import SPANS, reach, smoothed
+
+    what = (SPANS, True, (14, 21, 28))
+    token = _KEYS.set(("symbol", "__chunk"))
+    try:
+        t = chunked(numbered(bars), max(REACH, reach(*what)), lambda c: smoothed(_windowed(c), *what))
+    finally:
+        _KEYS.reset(token)
+    t = t.drop("__tr", "__hl", "__cv", "__rn")
+    return add(t, {**calendar_features(), **cyclic_features(), **session_features(), **cumulative_returns()})
