@@ -20,20 +20,33 @@ def clean_bars(bars: DataFrame, seq: str = "seq") -> DataFrame:
     return bars.dropna(subset=["time", "open", "high", "low", "close"]).where(ok).withColumn("__rn", F.row_number().over(w)).where("__rn = 1").drop("__rn")
 
 
+def known_around(col: str | Column, keys=("symbol",), order=("time",)) -> tuple[Column, Column]:
+    """The last known value up to each row and the next one from it on. Both are running values, in time linear in the rows:
+    the next one is the last one of the reversed order."""
+    c = F.col(col) if isinstance(col, str) else col
+    run = lambda o: F.last(c, ignorenulls=True).over(Window.partitionBy(*keys).orderBy(*o).rowsBetween(Window.unboundedPreceding, 0))
+    return run(order), run([F.desc(x) for x in order])
+
+
 def fill_forward(col: str, keys=("symbol",), order=("time",)) -> Column:
     """Forward, then backward, then 0."""
-    w = Window.partitionBy(*keys).orderBy(*order)
-    return F.coalesce(F.last(col, ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0)), F.first(col, ignorenulls=True).over(w.rowsBetween(0, Window.unboundedFollowing)), F.lit(0.0))
+    return F.coalesce(*known_around(col, keys, order), F.lit(0).cast("double"))
+
 
+def interpolate(df: DataFrame, cols: str | list[str], keys=("symbol",), order=("time",)) -> DataFrame:
+    """Linear by row number in both directions; edges take the nearest value. All columns share two sorts."""
+    cols = [cols] if isinstance(cols, str) else cols
+    t = df.withColumn("__rn", F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
+    t = t.withColumns({f"__at_{i}": F.when(F.col(c).isNotNull(), F.struct(F.col(c).cast("double").alias("v"), F.col("__rn").alias("r"))) for i, c in enumerate(cols)})
+    around = [known_around(f"__at_{i}", keys, order) for i in range(len(cols))]
+    t = t.withColumns({f"__p_{i}": p for i, (p, _) in enumerate(around)}).withColumns({f"__n_{i}": n for i, (_, n) in enumerate(around)})
 
-def interpolate(df: DataFrame, col: str, keys=("symbol",), order=("time",)) -> DataFrame:
-    """Linear by row number in both directions; edges take the nearest value."""
-    w = Window.partitionBy(*keys).orderBy(*order)
-    back, ahead = w.rowsBetween(Window.unboundedPreceding, 0), w.rowsBetween(0, Window.unboundedFollowing)
-    t = df.withColumn("__rn", F.row_number().over(w)).withColumn("__known", F.when(F.col(col).isNotNull(), F.col("__rn")))
-    t = t.withColumns({"__pv": F.last(col, True).over(back), "__pr": F.last("__known", True).over(back), "__nv": F.first(col, True).over(ahead), "__nr": F.first("__known", True).over(ahead)})
-    lerp = F.col("__pv") + (F.col("__nv") - F.col("__pv")) * F.try_divide(F.col("__rn") - F.col("__pr"), F.col("__nr") - F.col("__pr"))
-    return t.withColumn(col, F.coalesce(F.col(col), lerp, F.col("__pv"), F.col("__nv"))).drop("__rn", "__known", "__pv", "__pr", "__nv", "__nr")
+    def value(i: int, c: str) -> Column:
+        p, n = F.col(f"__p_{i}"), F.col(f"__n_{i}")
+        lerp = p["v"] + (n["v"] - p["v"]) * F.try_divide(F.col("__rn") - p["r"], n["r"] - p["r"])
+        return F.coalesce(F.col(c), lerp, p["v"], n["v"])
+
+    return t.withColumns({c: value(i, c) for i, c in enumerate(cols)}).drop("__rn", *[f"__{x}_{i}" for x in ("at", "p", "n") for i in range(len(cols))])
 
 
 def with_stats(df: DataFrame, **stats: Column) -> DataFrame:
@@ -110,13 +123,6 @@ class Scaler:
         return df.withColumns({c: (F.col(c) - self.params[f"mid_{c}"]) / (self.params[f"width_{c}"] or 1.0) for c in self.cols})
 
 
-def feature_specific_norm(bars: DataFrame, n: int = 20) -> DataFrame:
-    """Prices but close over the rolling mean of close, volumes but tick_volume over that of tick_volume, else 1."""
-    w = Window.partitionBy("symbol").orderBy("time").rowsBetween(-(n - 1), 0)
-    rel = lambda c, of: F.coalesce(F.when(F.count(of).over(w) == n, F.try_divide(F.col(c), F.avg(of).over(w))), F.lit(1.0))
-    return bars.withColumns({**{c: rel(c, "close") for c in ("open", "high", "low")}, "real_volume": rel("real_volume", "tick_volume")})
-
-
 def relative_price(bars: DataFrame, col: str = "close", n: int = 20, least: int = 10) -> Column:
     w = Window.partitionBy("symbol").orderBy("time").rowsBetween(-(n - 1), 0)
     return F.when(F.count("close").over(w) >= least, F.try_divide(F.col(col), F.avg("close").over(w)))
@@ -130,10 +136,17 @@ def variance_filter(df: DataFrame, cols: list[str], least: float = 1e-5) -> Data
     return one.unpivot([], cols, "column_name", "variance").select("column_name", F.round("variance", 4).alias("variance"), (F.col("variance") > least).alias("kept"))
 
 
+def correlation(a: str, b: str) -> Column:
+    """Of the rows that have both; null if either does not vary (the built-in one divides by zero)."""
+    x, y = F.when(F.col(b).isNotNull(), F.col(a)), F.when(F.col(a).isNotNull(), F.col(b))
+    spread = F.stddev_pop(x) * F.stddev_pop(y)
+    return F.covar_pop(a, b) / F.when(spread > 0, spread)
+
+
 def correlation_pairs(df: DataFrame, cols: list[str]) -> DataFrame:
-    """(col_a, col_b, corr) of the upper triangle from one aggregate."""
+    """(col_a, col_b, corr) of the upper triangle from one aggregate; null if a column does not vary."""
     pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i + 1 :]]
-    one = df.agg(*[F.corr(a, b).alias(f"{a}|{b}") for a, b in pairs])
+    one = df.agg(*[correlation(a, b).alias(f"{a}|{b}") for a, b in pairs])
     long = one.unpivot([], [f"{a}|{b}" for a, b in pairs], "pair", "c")
     return long.select(F.split_part("pair", F.lit("|"), F.lit(1)).alias("col_a"), F.split_part("pair", F.lit("|"), F.lit(2)).alias("col_b"), F.round("c", 4).alias("corr"))
 
