@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.catalog import BARS_PER_YEAR
+from .clean import correlation
 from .gaps import islands
 from .lineage import category_of
 from .sessions import checklist_hours, local, minutes_since_previous
@@ -87,17 +88,25 @@ def ohlc_integrity(bars: DataFrame) -> DataFrame:
     return t.groupBy("symbol").agg(F.count("*").alias("n"), F.count_if(bad).alias("order_violations"), F.count_if(F.least(o, h, low, c) <= 0).alias("non_positive"), F.count_if(F.abs("__chg") > 0.2).alias("large_moves"), (F.count_if(bad) == 0).alias("passed"))
 
 
-def volume_integrity(bars: DataFrame, z: float = 5.0) -> DataFrame:
+def volume_integrity(bars: DataFrame, z: float = 5.0, least: int = 100) -> DataFrame:
+    """Outliers are counted where there are more than `least` rows; spread: its statistics and negative values."""
     m = Window.partitionBy("symbol")
     t = bars.withColumn("__z", F.try_divide(F.col("tick_volume") - F.avg("tick_volume").over(m), F.stddev_pop("tick_volume").over(m)))
-    return t.groupBy("symbol").agg(F.count_if(F.col("tick_volume") < 0).alias("negatives"), F.count_if(F.col("tick_volume") == 0).alias("zeros"), F.count_if(F.abs("__z") > z).alias("outliers"), r(F.avg("spread")).alias("spread_mean"))
+    outliers = F.when(F.count("*") > least, F.count_if(F.abs("__z") > z)).otherwise(0)
+    return t.groupBy("symbol").agg(
+        F.count_if(F.col("tick_volume") < 0).alias("negatives"), F.count_if(F.col("tick_volume") == 0).alias("zeros"), outliers.alias("outliers"),
+        r(F.avg("spread")).alias("spread_mean"), r(F.min("spread")).alias("spread_min"), r(F.max("spread")).alias("spread_max"), F.count_if(F.col("spread") < 0).alias("spread_negatives"),
+        ((F.count_if(F.col("tick_volume") < 0) == 0) & (F.count_if(F.col("spread") < 0) == 0)).alias("passed"),
+    )
 
 
-def price_continuity(bars: DataFrame) -> DataFrame:
+def price_continuity(bars: DataFrame, least: int = 10) -> DataFrame:
+    """Jumps from close to open; the autocorrelation of returns where there are more than `least` of them."""
     p = F.lag("close").over(W())
     ret = pct_change("close")
     t = bars.select("symbol", "time", F.abs(F.try_divide(F.col("open") - p, p)).alias("jump"), ret.alias("ret")).withColumn("ret1", F.lag("ret").over(W()))
-    return t.groupBy("symbol").agg(F.count_if(F.col("jump") > 0.02).alias("over_2pct"), F.count_if(F.col("jump") > 0.05).alias("over_5pct"), r(F.max("jump"), 4).alias("max_jump"), r(F.avg("jump"), 4).alias("mean_jump"), r(F.corr("ret", "ret1"), 4).alias("autocorrelation"), (F.count_if(F.col("jump") > 0.05) == 0).alias("passed"))
+    auto = F.when(F.count("ret") > least, r(correlation("ret", "ret1"), 4))
+    return t.groupBy("symbol").agg(F.count_if(F.col("jump") > 0.02).alias("over_2pct"), F.count_if(F.col("jump") > 0.05).alias("over_5pct"), r(F.max("jump"), 4).alias("max_jump"), r(F.avg("jump"), 4).alias("mean_jump"), auto.alias("autocorrelation"), (F.count_if(F.col("jump") > 0.05) == 0).alias("passed"))
 
 
 def m5_consistency(bars: DataFrame, expected: float = 5.0, tolerance: float = 0.1) -> DataFrame:
@@ -137,26 +146,43 @@ def null_summary(df: DataFrame, cols: list[str]) -> DataFrame:
     return one.unpivot(["__n"], cols, "column_name", "nulls").select("column_name", "nulls", r(100.0 * F.col("nulls") / F.col("__n")).alias("pct"))
 
 
-def moments(bars: DataFrame, col: str) -> DataFrame:
-    """Bias-corrected sample skewness and kurtosis, and the share of values beyond 20 deviations."""
+def moments(bars: DataFrame, col: str, deviations: float = 20.0) -> DataFrame:
+    """Bias-corrected sample skewness and kurtosis, and the share of values beyond so many deviations."""
     n, g1, g2 = F.count(col), F.skewness(col), F.kurtosis(col)
-    return bars.groupBy("symbol").agg(r(F.avg(col), 4).alias("mean"), r(F.stddev_samp(col), 4).alias("std"), r(g1 * F.sqrt(n * (n - 1)) / (n - 2), 4).alias("skew"), r((n - 1) / ((n - 2) * (n - 3)) * ((n + 1) * g2 + 6), 4).alias("kurt"))
+    s = bars.groupBy(F.col("symbol").alias("s_symbol")).agg(F.stddev_samp(col).alias("s_std"))
+    t = bars.join(s, F.col("symbol").eqNullSafe(F.col("s_symbol")))
+    far = 100.0 * F.count_if((F.abs(col) > deviations * F.col("s_std")) & (F.col("s_std") > 0)) / F.count("*")
+    return t.groupBy("symbol").agg(r(F.avg(col), 4).alias("mean"), r(F.stddev_samp(col), 4).alias("std"), r(g1 * F.sqrt(n * (n - 1)) / (n - 2), 4).alias("skew"), r((n - 1) / ((n - 2) * (n - 3)) * ((n + 1) * g2 + 6), 4).alias("kurt"), r(far).alias("far_pct"))
+
+
+def checklist_score(bars: DataFrame, split: DataFrame | None = None) -> DataFrame:
+    """100 less ten deductions, at least 0, with status. Coverage: days with bars over weekdays from the first to the last.
 
+    split: (symbol, time, role) labels; training rows at or after the first validation row are an overlap.
+    """
+    from .analysis import business_days, split_checks
+    from .features import returns
 
-def checklist_score(bars: DataFrame, per_day: int) -> DataFrame:
-    """100 less deductions, at least 0, with status."""
     imp = F.col("data_origin").contains("IMPUTADO")
     bad = (F.col("high") < F.col("low")) | (F.col("high") < F.greatest("open", "close")) | (F.col("low") > F.least("open", "close"))
-    t = bars.withColumn("__d", minutes_since_previous())
+    cells = ("open", "high", "low", "close", "tick_volume", "real_volume", "spread")
+    empty = sum((F.col(c).isNull().cast("int") for c in cells), F.lit(0))
+    t = bars.withColumns({"__d": minutes_since_previous(), "__lr": returns()["log_return"], "__empty": empty})
+    date = F.to_date("time")
     a = t.groupBy("symbol").agg(
         F.count("*").alias("n"), (F.count("*") - F.count_distinct("time")).alias("dups"), F.count_if(F.weekday("time") > 4).alias("weekend"), F.count_if(~checklist_hours()).alias("outside"), F.count_if(bad).alias("ohlc"), F.count_if(F.col("__d") > 5).alias("gaps"),
-        (100.0 * F.count_if(~imp) / F.count("*")).alias("real"), (F.count("*") / (F.count_distinct(F.to_date("time")) * per_day)).alias("cov"),
+        r(100.0 * F.sum("__empty") / (F.count("*") * len(cells))).alias("null_pct"), (100.0 * F.count_if(~imp) / F.count("*")).alias("real"), F.coalesce(F.try_divide(F.count_distinct(date).cast("double"), business_days(F.min(date), F.max(date)).cast("double")), F.lit(0.0)).alias("cov"),
     )
+    far = moments(t.select("symbol", "__lr"), "__lr").select(F.col("symbol").alias("f_symbol"), "far_pct")
+    a = a.join(far, F.col("symbol").eqNullSafe(F.col("f_symbol")))
+    overlap = split_checks(split.withColumn("split_id", F.lit(0))).select(F.col("symbol").alias("o_symbol"), "overlap") if split is not None else None
+    a = a.join(overlap, F.col("symbol").eqNullSafe(F.col("o_symbol")), "left").withColumn("overlap", F.coalesce("overlap", F.lit(False))) if overlap is not None else a.withColumn("overlap", F.lit(False))
     take = lambda cond, points: F.when(cond, points).otherwise(0.0)
-    score = 100.0 - take(F.col("dups") > 0, 10.0) - take(F.col("weekend") > 0, 15.0) - take(F.col("outside") > 0, 10.0) - take(F.col("ohlc") > 0, 20.0) - take(F.col("gaps") > 100, 5.0) - F.greatest(F.lit(0.0), (0.8 - F.col("cov")) * 50) - F.greatest(F.lit(0.0), (80 - F.col("real")) * 0.5)
+    score = 100.0 - take(F.col("dups") > 0, 10.0) - take(F.col("weekend") > 0, 15.0) - take(F.col("outside") > 0, 10.0) - take(F.col("null_pct") > 5, 10.0) - take(F.col("ohlc") > 0, 20.0) - take(F.col("gaps") > 100, 5.0)
+    score = score - take(F.col("far_pct") > 1, 5.0) - take(F.col("overlap"), 15.0) - F.greatest(F.lit(0.0), (0.8 - F.col("cov")) * 50) - F.greatest(F.lit(0.0), (80 - F.col("real")) * 0.5)
     a = a.withColumn("score", r(F.greatest(F.lit(0.0), score), 4))
     s = F.col("score")
-    return a.select("symbol", "n", "dups", "weekend", "outside", "ohlc", "gaps", "score", F.when(s >= 90, "EXCELLENT").when(s >= 80, "GOOD").when(s >= 70, "ACCEPTABLE").when(s >= 60, "POOR").otherwise("FAILED").alias("status"))
+    return a.select("symbol", "n", "dups", "weekend", "outside", "ohlc", "gaps", "null_pct", "far_pct", "overlap", "score", F.when(s >= 90, "EXCELLENT").when(s >= 80, "GOOD").when(s >= 70, "ACCEPTABLE").when(s >= 60, "POOR").otherwise("FAILED").alias("status"))
 
 
 def reporter_grade(completeness: Column, integrity: Column, consistency: Column) -> Column:

@@ -7,12 +7,11 @@ lineitem by ship date.
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.calendar import calendar_table, holiday_list
+from ..functions.calendar import holiday_list
 from ..functions.catalog import DATA_ORIGINS
 from ..operators import clean, features, gaps, lineage, quality, recurrence, resample, sessions
 from ..sources.tables import read_table
@@ -67,9 +66,18 @@ def rounds(cols: list[str], n: int = 6) -> str:
     return ", ".join(f"round({c}, {n}) AS {c}" for c in cols)
 
 
+DIGITS: dict[str, dict[str, int]] = {}
+
+
+def featured_digits(name: str) -> dict[str, int]:
+    """The decimals that a feature query's columns are rounded to."""
+    return DIGITS.get(name, {})
+
+
 def featured(name: str, groups: Callable[[], list], exprs: dict[str, str], inner: str = "b", digits: int = 6) -> None:
     """A feature query over hourly bars: the operator's columns, and their SQL over `inner`."""
     cols = list(exprs)
+    DIGITS[name] = dict.fromkeys(cols, digits)
 
     @register(name, f"WITH {bars_sql('1 hour')}, x AS (SELECT symbol, time, {', '.join(f'{e} AS {c}' for c, e in exprs.items())} FROM {inner}) SELECT symbol, time, {rounds(cols, digits)} FROM x")
     def run(spark, sf):
@@ -160,11 +168,6 @@ def _(spark, sf):
     return sessions.interval_stats(bars(spark, sf))
 
 
-@register("market_calendar")
-def _(spark, sf):
-    return calendar_table(spark, 2020, 2030)
-
-
 # Gaps.
 
 
@@ -238,7 +241,8 @@ for _n in (20, 30):
         up, low = f"(({mid}) + {_k} * ({std}))", f"(({mid}) - {_k} * ({std}))"
         BB |= {f"bb_upper_{_n}_{_k}": up, f"bb_lower_{_n}_{_k}": low, f"bb_width_{_n}_{_k}": f"{up} - {low}", f"bb_position_{_n}_{_k}": f"(close - {low}) / nullif({up} - {low}, 0)"}
 featured("bollinger", lambda: [features.bollinger()], BB)
-TR = f"(SELECT *, greatest(high - low, abs(high - {C1}), abs(low - {C1})) AS tr FROM b)"
+ATR_PARTS = f"greatest(high - low, abs(high - {C1}), abs(low - {C1}))"
+TR = f"(SELECT *, {ATR_PARTS} AS tr FROM b)"
 featured("atr", lambda: features.atr(), {f"atr_{n}": full_sql("avg", "tr", n) for n in (14, 21)}, TR)
 K = {n: f"100 * (close - ({full_sql('min', 'low', n)})) / nullif(({full_sql('max', 'high', n)}) - ({full_sql('min', 'low', n)}), 0)" for n in (14, 21)}
 featured("stochastic", lambda: features.stochastic(), {**{f"stoch_k_{n}": f"k{n}" for n in K}, **{f"stoch_d_{n}": full_sql("avg", f"k{n}", 3) for n in K}}, f"(SELECT *, {', '.join(f'{e} AS k{n}' for n, e in K.items())} FROM b)")
@@ -297,11 +301,6 @@ def _(spark, sf):
     return rounded(recurrence.rsi_wilder(bars(spark, sf, "1 hour")), ["rsi_14"], 4)
 
 
-@register("all_features")
-def _(spark, sf):
-    return features.all_features(bars(spark, sf, "1 hour"))
-
-
 # Analysis and quality.
 CHG = "(close - lag(close) OVER (PARTITION BY symbol, {0} ORDER BY time)) / nullif(lag(close) OVER (PARTITION BY symbol, {0} ORDER BY time), 0)"
 
@@ -364,6 +363,9 @@ def _(spark, sf):
 LEGACY = "(['real_m5', 'rates_range', 'aggregated', 'from_m1', 'imputed_brownian', 'imputed_interpolation', 'imputed', 'Ticks', 'other'])[(event_id % 9)::INTEGER + 1]"
 
 
+LEGACY_SOURCES = "(['real_m5', 'aggregated_m1', 'aggregated_h1', 'imputed', 'other'])[(event_id % 5)::INTEGER + 1]"
+
+
 @register("lineage_legacy", f"WITH x AS (SELECT event_id AS seq, {LEGACY} AS f, {TFM} AS tf FROM events) SELECT seq, CASE WHEN f = 'imputed_brownian' THEN 'M5_IMPUTADO_BROWNIAN' WHEN f = 'imputed_interpolation' THEN 'M5_IMPUTADO_INTERPOLADO' WHEN f = 'imputed' THEN 'M5_IMPUTADO_SIMPLE' WHEN f = 'Ticks' THEN 'M5_AGREGADO_TICKS' WHEN f IN ('real_m5', 'rates_range') THEN 'M5_NATIVO' WHEN f IN ('aggregated', 'from_m1') THEN 'M5_AGREGADO_M1' WHEN tf IN ('ticks', 'other') THEN 'DESCONOCIDO' ELSE tf || '_NATIVO' END AS data_origin FROM x")
 def _(spark, sf):
     flag = F.get(F.array(*[F.lit(x) for x in ("real_m5", "rates_range", "aggregated", "from_m1", "imputed_brownian", "imputed_interpolation", "imputed", "Ticks", "other")]), (F.col("seq") % 9).cast("int"))
@@ -380,11 +382,6 @@ def _(spark, sf):
     return lineage.breakdown(lineage.assign(sourced(spark, sf)), ("symbol",))
 
 
-@register("lineage_validate", f"WITH {SOURCED} SELECT count(*) AS n, count(*) FILTER (WHERE data_origin IS NULL) AS null_origin, 0::BIGINT AS unknown_origin, count(*) FILTER (WHERE NOT quality_score BETWEEN 0 AND 1) AS bad_score FROM a")
-def _(spark, sf):
-    return lineage.validate(lineage.assign(sourced(spark, sf)))
-
-
 @register("quality_tracker", f"WITH {SOURCED} SELECT symbol, year(time)::INTEGER AS year, month(time)::INTEGER AS month, count(*) AS total, count(*) FILTER (WHERE data_origin = 'M5_NATIVO') AS native_m5, count(*) FILTER (WHERE data_origin = 'M5_AGREGADO_M1') AS aggregated_m1, count(*) FILTER (WHERE category = 'imputed') AS imputed, count(*) FILTER (WHERE data_origin NOT IN ('M5_NATIVO', 'M5_AGREGADO_M1') AND category <> 'imputed') AS other, round(avg(quality_score), 6) AS avg_score, count(DISTINCT data_origin) AS origins FROM a GROUP BY 1, 2, 3")
 def _(spark, sf):
     return quality.track(lineage.assign(sourced(spark, sf)))
@@ -413,16 +410,6 @@ def _(spark, sf):
     return quality.ohlc_integrity(bars(spark, sf))
 
 
-@register("volume_integrity", f"WITH {bars_sql()}, x AS (SELECT *, (tick_volume - avg(tick_volume) OVER (PARTITION BY symbol)) / nullif(stddev_pop(tick_volume) OVER (PARTITION BY symbol), 0) AS z FROM b) SELECT symbol, count(*) FILTER (WHERE tick_volume < 0) AS negatives, count(*) FILTER (WHERE tick_volume = 0) AS zeros, count(*) FILTER (WHERE abs(z) > 5) AS outliers, round(avg(spread), 6) AS spread_mean FROM x GROUP BY 1")
-def _(spark, sf):
-    return quality.volume_integrity(bars(spark, sf))
-
-
-@register("price_continuity", f"WITH {bars_sql()}, x AS (SELECT symbol, time, abs((open - {C1}) / nullif({C1}, 0)) AS jump, {CHG1} AS ret FROM b), y AS (SELECT *, lag(ret) OVER {W} AS ret1 FROM x) SELECT symbol, count(*) FILTER (WHERE jump > 0.02) AS over_2pct, count(*) FILTER (WHERE jump > 0.05) AS over_5pct, round(max(jump), 4) AS max_jump, round(avg(jump), 4) AS mean_jump, round(corr(ret, ret1), 4) AS autocorrelation, count(*) FILTER (WHERE jump > 0.05) = 0 AS passed FROM y GROUP BY 1")
-def _(spark, sf):
-    return quality.price_continuity(bars(spark, sf))
-
-
 @register("m5_consistency", f"WITH {bars_sql()}, d AS (SELECT symbol, {DIFF} AS d FROM b) SELECT symbol, count(d) AS n, count(*) FILTER (WHERE d BETWEEN 4.5 AND 5.5) AS consistent, count(*) FILTER (WHERE d < 4.5) AS short, count(*) FILTER (WHERE d > 5.5) AS long, round(quantile_cont(d, 0.5), 6) AS median, count(*) FILTER (WHERE d BETWEEN 4.5 AND 5.5) >= 0.95 * count(d) AS passed FROM d GROUP BY 1")
 def _(spark, sf):
     return quality.m5_consistency(bars(spark, sf))
@@ -446,16 +433,6 @@ def _(spark, sf):
     return quality.market_validation(bars(spark, sf))
 
 
-@register("checklist_score", f"WITH {bars_sql()}, x AS (SELECT *, {DIFF} AS d FROM b), a AS (SELECT symbol, count(*) AS n, count(*) - count(DISTINCT time) AS dups, count(*) FILTER (WHERE isodow(time) > 5) AS weekend, count(*) FILTER (WHERE NOT (hour(time) BETWEEN 9 AND 15 OR (hour(time) = 16 AND minute(time) = 0))) AS outside, count(*) FILTER (WHERE {BAD}) AS ohlc, count(*) FILTER (WHERE d > 5) AS gaps, count(*) / (count(DISTINCT time::DATE) * 78.0) AS cov FROM x GROUP BY 1), s AS (SELECT *, round(greatest(0, 100.0 - (dups > 0)::INT * 10 - (weekend > 0)::INT * 15 - (outside > 0)::INT * 10 - (ohlc > 0)::INT * 20 - (gaps > 100)::INT * 5 - greatest(0, (0.8 - cov) * 50)), 4)::DOUBLE AS score FROM a) SELECT symbol, n, dups, weekend, outside, ohlc, gaps, score, CASE WHEN score >= 90 THEN 'EXCELLENT' WHEN score >= 80 THEN 'GOOD' WHEN score >= 70 THEN 'ACCEPTABLE' WHEN score >= 60 THEN 'POOR' ELSE 'FAILED' END AS status FROM s")
-def _(spark, sf):
-    return quality.checklist_score(bars(spark, sf), 78)
-
-
-@register("return_moments", f"WITH {bars_sql('1 hour')}, x AS (SELECT symbol, {RET['log_return']} AS lr FROM b) SELECT symbol, round(avg(lr), 4) AS mean, round(stddev_samp(lr), 4) AS std, round(skewness(lr), 4) AS skew, round(kurtosis(lr), 4) AS kurt FROM x GROUP BY 1")
-def _(spark, sf):
-    return quality.moments(features.add(bars(spark, sf, "1 hour"), features.returns()), "log_return")
-
-
 @register("null_summary", "WITH x AS (SELECT count(*) AS n, count(*) FILTER (WHERE v IS NULL) AS k FROM (SELECT CASE WHEN event_id % 3 <> 0 THEN value END AS v FROM events)) SELECT 'v' AS column_name, k AS nulls, round(100.0 * k / n, 6) AS pct FROM x")
 def _(spark, sf):
     return quality.null_summary(holed(spark, sf), ["v"])
@@ -511,11 +488,6 @@ def _(spark, sf):
     return clean.iqr_outliers(read_table(spark, sf, "lineitem"), NUM, 0.1)
 
 
-@register("feature_specific_norm", f"WITH {bars_sql('1 hour')}, m AS (SELECT *, {full_sql('avg', 'close', 20)} AS mc, {full_sql('avg', 'tick_volume', 20)} AS mv FROM b) SELECT symbol, time, round(coalesce(open / nullif(mc, 0), 1), 6) AS open, round(coalesce(high / nullif(mc, 0), 1), 6) AS high, round(coalesce(low / nullif(mc, 0), 1), 6) AS low, round(coalesce(real_volume / nullif(mv, 0), 1), 6) AS real_volume FROM m")
-def _(spark, sf):
-    return rounded(clean.feature_specific_norm(bars(spark, sf, "1 hour")), ["open", "high", "low", "real_volume"])
-
-
 @register("variance_filter", f"WITH {LONG} SELECT column_name, round(var_pop(v), 4) AS variance, var_pop(v) > 1e-5 AS kept FROM u GROUP BY 1")
 def _(spark, sf):
     return clean.variance_filter(read_table(spark, sf, "lineitem"), NUM)
@@ -574,13 +546,12 @@ def _(spark, sf):
     return clean.split_analysis(clean.split_ratio(bars(spark, sf, "1 hour"), 0.8))
 
 
-# A fixed check of the calendar: early close keeps 53 bars.
-EARLY_CLOSE_CASE = (date(2024, 11, 27), 53)
-
-
 def queries() -> dict:
     return dict(QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
     return dict(SQL)
+
+
+from . import more  # noqa: E402, F401  (registers the rest)

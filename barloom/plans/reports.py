@@ -8,7 +8,8 @@ from datetime import date, datetime
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators import clean, features, gaps, lineage, quality, resample, sessions
+from ..functions.lineage_cut import materialize
+from ..operators import clean, features, gaps, lineage, preprocess, quality, resample, sessions
 
 
 def rows(df: DataFrame) -> list[dict]:
@@ -43,20 +44,21 @@ def quality_report(bars: DataFrame, per_day: int = 78) -> dict:
         "gap_analysis": rows(gaps.gap_buckets(gap)),
         "data_origin_analysis": rows(lineage.breakdown(bars, ("symbol",))),
         "yearly": rows(quality.period_stats(bars, "year")),
-        "score": rows(quality.checklist_score(bars, per_day)),
+        "score": rows(quality.checklist_score(bars)),
     }
 
 
 def capture(ticks: DataFrame, market: str = "US500") -> DataFrame:
-    """Ticks to bars, market hours, imputation of short gaps, features, lineage: one lazy plan."""
+    """Ticks to bars, market hours, imputation of short gaps, features, lineage. The bars are checkpointed, since gaps read them twice."""
     bars = sessions.filter_market_hours(resample.ticks_to_bars(ticks), market).withColumn("quality_score", F.lit(0.98))
+    bars = materialize(bars)
     filled = bars.unionByName(gaps.bridge_fill(bars, market=market, noise=0.001))
     return features.all_features(filled)
 
 
 def validate(bars: DataFrame, scale: tuple[str, ...] = ()) -> DataFrame:
-    """Repair, scale, label the fixed-year split."""
-    t = clean.repair_bars(bars)
+    """Repair, clean by category, scale, label the fixed-year split."""
+    t = preprocess.full_clean(clean.repair_bars(bars))
     if scale:
         t = clean.Scaler("robust", list(scale)).fit(t).transform(t)
     return clean.split_years(t)

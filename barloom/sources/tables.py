@@ -27,15 +27,34 @@ def read_bars(spark: SparkSession, path: str, schema: T.StructType | None = None
         df = spark.read.parquet(path)
     elif kind == "csv":
         df = (spark.read.schema(schema) if schema else spark.read.option("inferSchema", True)).option("header", True).csv(path)
+    elif kind in ("json", "jsonl"):
+        df = (spark.read.schema(schema) if schema else spark.read).json(path)
     elif kind in ("feather", "arrow"):
-        import pyarrow.feather
-
-        df = spark.createDataFrame(pyarrow.feather.read_table(path))
+        df = read_feather(spark, path)
     else:
         raise ValueError(f"unsupported bar file: {path}")
     return df.withColumn("time", F.col("time").cast("timestamp_ntz")) if "time" in df.columns else df
 
 
+def read_feather(spark: SparkSession, path: str) -> DataFrame:
+    """Arrow files on a path that all executors share: the driver reads the schema, executors the record batches."""
+    import pyarrow as pa
+    from pyspark.sql.pandas.types import from_arrow_schema
+
+    with pa.memory_map(path) as f:
+        reader = pa.ipc.open_file(f)
+        schema, n = reader.schema, reader.num_record_batches
+
+    def run(batches):
+        for batch in batches:
+            with pa.memory_map(path) as f:
+                reader = pa.ipc.open_file(f)
+                for i in batch.column(0).to_pylist():
+                    yield reader.get_batch(i)
+
+    return spark.range(0, n, 1, max(1, n)).mapInArrow(run, from_arrow_schema(schema, prefer_timestamp_ntz=True))
+
+
 def rates_range(bars: DataFrame, start: str, end: str) -> DataFrame:
     return bars.where(F.col("time").between(F.lit(start).cast("timestamp_ntz"), F.lit(end).cast("timestamp_ntz")))
 
@@ -78,7 +97,39 @@ def write_bars(df: DataFrame, path: str, formats: tuple[str, ...] = ("parquet",
 
 
 def write_splits(df: DataFrame, path: str) -> None:
+    """The rows by split and role, and beside them split_info: a row a split with counts and bounds."""
     df.write.mode("overwrite").partitionBy("split_id", "role").parquet(path)
+    info = df.groupBy("symbol", "split_id", "role").agg(F.count("*").alias("n"), F.min("time").alias("first_time"), F.max("time").alias("last_time"))
+    info.coalesce(1).write.mode("overwrite").json(f"{path}_split_info")
+
+
+def write_reports(tables: dict[str, DataFrame], path: str, kind: str = "csv") -> list[str]:
+    """Small result tables, each below its name as CSV with a header, Parquet or JSON; the paths."""
+    out = []
+    for name, df in tables.items():
+        w = df.coalesce(1).write.mode("overwrite")
+        (w.option("header", True) if kind == "csv" else w).format(kind).save(f"{path}/{name}")
+        out.append(f"{path}/{name}")
+    return out
+
+
+def check_file(path: str, kinds: tuple[str, ...] = ("parquet", "csv", "feather", "json")) -> list[str]:
+    """What is wrong with a file before it is read: nothing if the list is empty."""
+    p = Path(path)
+    if not p.exists():
+        return ["missing"]
+    wrong = []
+    kind = path.removesuffix(".gz").rsplit(".", 1)[-1].lower()
+    if kind not in kinds:
+        wrong.append("extension")
+    if p.is_file():
+        if p.stat().st_size == 0:
+            wrong.append("empty")
+        elif path.endswith(".csv"):
+            with p.open(encoding="utf-8", errors="replace") as f:
+                if "," not in f.readline(1 << 16):
+                    wrong.append("header")
+    return wrong
 
 
 def verify_written(spark: SparkSession, path: str) -> tuple[int, int]:
@@ -87,8 +138,29 @@ def verify_written(spark: SparkSession, path: str) -> tuple[int, int]:
 
 
 def checksums(spark: SparkSession, path: str) -> DataFrame:
-    """(path, sha256) of every file."""
-    return spark.read.format("binaryFile").load(path).select("path", F.sha2("content", 256).alias("sha256"))
+    """(path, length, sha256) of every file; a file is read in pieces, so its size does not matter."""
+    files = spark.read.format("binaryFile").load(path).select("path", "length")
+
+    def digest(batches):
+        import hashlib
+        from urllib.parse import unquote, urlparse
+
+        import pyarrow as pa
+        from pyarrow import fs
+
+        for batch in batches:
+            out = []
+            for p in batch.column(0).to_pylist():
+                u = urlparse(p)
+                system, name = (fs.LocalFileSystem(), unquote(u.path)) if u.scheme in ("", "file") else fs.FileSystem.from_uri(p)
+                h = hashlib.sha256()
+                with system.open_input_stream(name) as f:
+                    while piece := f.read(1 << 24):
+                        h.update(piece)
+                out.append(h.hexdigest())
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(out, pa.string())], ["path", "length", "sha256"])
+
+    return files.mapInArrow(digest, "path string, length long, sha256 string")
 
 
 def find_dataset(folder: str, name: str, extensions: tuple[str, ...] = ("parquet", "feather", "csv")) -> str | None:

@@ -49,7 +49,7 @@ def test_scan_equals_sequential(spark, span):
     x = [50 + (i * 7919 % 101) / 7 for i in range(1500)]
     b = series(spark, [datetime(2024, 1, 1) + timedelta(minutes=5 * i) for i in range(1500)], x)
     got = [r["e"] for r in recurrence.ema(recurrence.numbered(b), "close", span, "e").orderBy("time").collect()]
-    want = pd.Series(x).ewm(span=span, adjust=False).mean()
+    want = pd.Series(x).ewm(span=span, adjust=False).mean().tolist()
     assert max(abs(a - w) for a, w in zip(got, want, strict=True)) < 1e-9
 
 
