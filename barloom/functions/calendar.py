@@ -31,6 +31,11 @@ def us_holidays(year: int) -> set[date]:
     return {observed(d) for d in fixed} | set(moving)
 
 
+def good_fridays(first: int = 1900, last: int = 2099) -> list[int]:
+    """As days since 1970."""
+    return [(easter(y) - timedelta(days=2) - date(1970, 1, 1)).days for y in range(first, last + 1)]
+
+
 def early_closes(year: int) -> set[date]:
     """The day before Thanksgiving, Christmas Eve on weekdays, July 3 if July 4 is a Saturday."""
     out = {nth_weekday(year, 11, 3, 4) - timedelta(days=1)}

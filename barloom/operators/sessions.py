@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.calendar import holiday_list
+from ..functions.calendar import good_fridays
 from ..functions.catalog import MARKETS
 
 ZONE = "America/New_York"
@@ -19,11 +19,23 @@ def seconds_of_day(t: Column) -> Column:
     return F.hour(t) * 3600 + F.minute(t) * 60 + F.second(t)
 
 
+def is_us_holiday(day: Column) -> Column:
+    """The rules of `calendar.us_holidays` as an expression: any year, no table; Good Fridays of 1900 to 2099 are listed."""
+    month, number, week = F.month(day), F.dayofmonth(day), F.weekday(day)
+    at = lambda m, n: (month == m) & (number == n)
+    # A fixed day on a Saturday moves to Friday, on a Sunday to Monday; New Year's Day never moves into the old year.
+    fixed = lambda m, n: at(m, n) & (week < 5) | at(m, n - 1) & (week == 4) | at(m, n + 1) & (week == 0)
+    nth = lambda m, w, lo, hi: (month == m) & (week == w) & number.between(lo, hi)
+    moving = nth(1, 0, 15, 21) | nth(2, 0, 15, 21) | nth(5, 0, 25, 31) | nth(9, 0, 1, 7) | nth(11, 3, 22, 28)
+    days = fixed(1, 1) | (F.year(day) >= 2022) & fixed(6, 19) | fixed(7, 4) | fixed(12, 25) | moving
+    return F.when(month.isin(3, 4), F.array_contains(F.lit(good_fridays()), F.unix_date(day))).otherwise(days)
+
+
 def is_market_open(time: Column | str = "time", market: str = "US500", holidays: bool = True) -> Column:
     """Weekday, not a holiday, open to close inclusive, in the market's zone."""
     m, t = MARKETS[market], local(time, MARKETS[market]["zone"])
     ok = (F.weekday(t) < 5) & seconds_of_day(t).between(m["open"], m["close"])
-    return ok & ~F.to_date(t).isin(holiday_list()) if holidays else ok
+    return ok & ~is_us_holiday(F.to_date(t)) if holidays else ok
 
 
 def is_forex_open(time: Column | str = "time") -> Column:

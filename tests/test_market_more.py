@@ -107,6 +107,13 @@ def test_calendar_rules():
     assert str(date(2024, 6, 19)) not in calendar.LISTED_HOLIDAYS and len(missing) < 6
 
 
+def test_holiday_expression_equals_the_rules(spark):
+    from barloom.operators.sessions import is_us_holiday
+
+    days = spark.sql("SELECT explode(sequence(DATE'1970-01-01', DATE'2069-12-31')) AS d")
+    assert sorted(r["d"] for r in days.where(is_us_holiday(F.col("d"))).collect()) == calendar.holiday_list(1970, 2069)
+
+
 def test_coverage_by_the_calendar(spark):
     t = datetime(2024, 11, 27, 9, 30)
     b = make(spark, 53, ("S",), t)
