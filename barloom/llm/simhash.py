@@ -205,7 +205,7 @@ def similar_groups(docs: DataFrame, words: int = 5, similarity: float = 0.8, id_
     all members are first compared with the least one; then every pair that these links left unconnected is compared.
     """
     keyed = docs.select(F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit(""))).alias("key"), "text")
-    prefixes = materialize(_prefixes(keyed, words, similarity, _hot_shingles(keyed, words)).dropDuplicates(["key"]))
+    prefixes = _prefixes(keyed, words, similarity, _hot_shingles(keyed, words)).dropDuplicates(["key"])
     rows = map_arrow(prefixes, _unfold, "h long, key long, n int, pos int")
     # One exchange: the list's least member and whether it has others, beside each row.
     mine = Window.partitionBy("h")
@@ -309,11 +309,26 @@ def _alike(pairs: DataFrame, keyed: DataFrame, words: int, similarity: float) ->
     members = pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct()
     if pairs.count() <= BROADCAST_PAIRS:
         members = F.broadcast(members)  # the texts need no exchange
-    sets = materialize(shingle_sets(keyed.join(members, "key", "left_semi"), words).dropDuplicates(["key"]))
-    checked = pairs.join(sets.select(F.col("key").alias("a"), F.col("shingles").alias("sa")), "a").join(sets.select(F.col("key").alias("b"), F.col("shingles").alias("sb")), "b")
+    sets = shingle_sets(keyed.join(members, "key", "left_semi"), words).select("key", F.col("shingles").alias("own"))
+    # The sets travel once, to their keys' partitions, where both joins find them; they are cut to 40 bits a shingle before.
+    sets = map_arrow(sets, _shorten, "key long, own binary").dropDuplicates(["key"])
+    checked = pairs.join(sets.select(F.col("key").alias("a"), F.col("own").alias("sa")), "a").join(sets.select(F.col("key").alias("b"), F.col("own").alias("sb")), "b")
     return map_arrow(checked.select("a", "b", "sa", "sb"), _jaccard(similarity), "a long, b long")
 
 
+def _shorten(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of each 64-bit hash the upper five bytes: within one pair of texts they tell shingles apart as well."""
+    for batch in batches:
+        short = [np.frombuffer(x.as_buffer(), np.uint8).reshape(-1, 8)[:, 3:].tobytes() for x in batch.column(1)]
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(short, pa.binary())], ["key", "own"])
+
+
+def _lengthen(short: bytes) -> np.ndarray:
+    out = np.zeros((len(short) // 5, 8), np.uint8)
+    out[:, 3:] = np.frombuffer(short, np.uint8).reshape(-1, 5)
+    return out.view(np.uint64).ravel()
+
+
 def shingle_sets(keyed: DataFrame, words: int) -> DataFrame:
     """(key, shingles): the sorted 64-bit hashes of a text's distinct shingles, as bytes."""
 
@@ -332,8 +347,8 @@ def _jaccard(similarity: float):
         for batch in slices(batches):
             good = []
             for x, y in zip(batch.column(2), batch.column(3), strict=True):
-                u, v = np.frombuffer(x.as_py(), np.uint64), np.frombuffer(y.as_py(), np.uint64)
-                both = len(np.intersect1d(u, v, assume_unique=True))
+                u, v = _lengthen(x.as_py()), _lengthen(y.as_py())
+                both = len(np.intersect1d(u, v))
                 total = len(u) + len(v) - both
                 good.append(both >= similarity * total)  # two texts without words are alike
             kept = batch.filter(pa.array(good, pa.bool_()))
