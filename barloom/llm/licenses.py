@@ -175,7 +175,7 @@ def drawn(n: int, seed: int, changed: float = 0.1) -> list[tuple[str, int]]:
 class Classifier:
     def __init__(self, n: int = TRAINING_PARAGRAPHS, seed: int = 3, rounds: int = 150):
         # The temperature is fitted on harder draws than the weights: notices with up to half of their words replaced.
-        train, held = drawn(n, seed), drawn(n // 4, seed + 1, 0.5)
+        train, held, hard = drawn(n, seed), drawn(n // 4, seed + 1), drawn(n // 4, seed + 2, 0.5)
         counts: dict[str, int] = {}
         for p, _ in train:
             for g in set(grams(words_of(p))):
@@ -192,6 +192,8 @@ class Classifier:
         hx, hy = self._matrix(held)
         z = hx @ self.w
         self.accuracy = float((z.argmax(1) == hy).mean())
+        hx, hy = self._matrix(hard)
+        z = hx @ self.w
         loss = lambda t: -np.log(_softmax(z / t)[np.arange(len(hy)), hy] + 1e-9).mean()
         self.temperature = min((2.0 ** (k / 2) for k in range(-12, 9)), key=loss)
         lead = (self.w[:, :-1] - self.w[:, -1:]).max(axis=1)
