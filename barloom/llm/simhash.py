@@ -304,16 +304,58 @@ def _unconnected(rooted: DataFrame, similarity: float) -> DataFrame:
 
 
 def _alike(pairs: DataFrame, keyed: DataFrame, words: int, similarity: float) -> DataFrame:
-    """The pairs (a, b) of keys whose texts are similar enough."""
+    """The pairs (a, b) of keys whose texts are similar enough: sketches discard most others before any set travels."""
+    near = _compared(pairs, keyed, words, _sketch, _sketches_allow(similarity))
+    return _compared(near, keyed, words, _shorten, _jaccard(similarity))
+
+
+def _compared(pairs: DataFrame, keyed: DataFrame, words: int, form, check) -> DataFrame:
+    """The pairs (a, b) whose shingle sets, each put in a form of bytes, pass a check."""
     pairs = materialize(pairs)
     members = pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct()
     if pairs.count() <= BROADCAST_PAIRS:
         members = F.broadcast(members)  # the texts need no exchange
     sets = shingle_sets(keyed.join(members, "key", "left_semi"), words).select("key", F.col("shingles").alias("own"))
-    # The sets travel once, to their keys' partitions, where both joins find them; they are cut to 40 bits a shingle before.
-    sets = map_arrow(sets, _shorten, "key long, own binary").dropDuplicates(["key"])
+    # The forms travel once, to their keys' partitions, where both joins find them.
+    sets = map_arrow(sets, form, "key long, own binary").dropDuplicates(["key"])
     checked = pairs.join(sets.select(F.col("key").alias("a"), F.col("own").alias("sa")), "a").join(sets.select(F.col("key").alias("b"), F.col("own").alias("sb")), "b")
-    return map_arrow(checked.select("a", "b", "sa", "sb"), _jaccard(similarity), "a long, b long")
+    return map_arrow(checked.select("a", "b", "sa", "sb"), check, "a long, b long")
+
+
+def odd_sketch(own: np.ndarray) -> bytes:
+    """The set's size and, for each value of the hashes' low bits, whether an odd number of elements has it.
+
+    The table has a bit an element, rounded up to a power of two. An element in only one of two sets changes one bit, so
+    the bits in which two tables differ are never more than such elements. A table folds to half its size by exclusive or.
+    """
+    size = max(64, 1 << (len(own) - 1).bit_length()) if len(own) else 64
+    odd = np.bincount((own & np.uint64(size - 1)).astype(np.int64), minlength=size) & 1
+    return len(own).to_bytes(8, "little") + np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
+
+
+def sketches_allow(x: bytes, y: bytes, similarity: float) -> bool:
+    """Whether two sets can be similar enough by their sketches: never false of two that are."""
+    n = int.from_bytes(x[:8], "little") + int.from_bytes(y[:8], "little")
+    u, v = np.frombuffer(x, np.uint8, offset=8), np.frombuffer(y, np.uint8, offset=8)
+    width = min(len(u), len(v))
+    u, v = (np.bitwise_xor.reduce(t.reshape(-1, width), axis=0) for t in (u, v))
+    return int(np.bitwise_count(u ^ v).sum()) <= (1 - similarity) / (1 + similarity) * n + 1e-6
+
+
+def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        own = [odd_sketch(np.frombuffer(x.as_buffer(), np.uint64)) for x in batch.column(1)]
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(own, pa.binary())], ["key", "own"])
+
+
+def _sketches_allow(similarity: float):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            good = [sketches_allow(x, y, similarity) for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)]
+            kept = batch.filter(pa.array(good, pa.bool_()))
+            yield pa.RecordBatch.from_arrays([kept.column(0), kept.column(1)], ["a", "b"])
+
+    return run
 
 
 def _shorten(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

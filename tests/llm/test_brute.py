@@ -4,6 +4,7 @@ import random
 import re
 
 import duckdb
+import numpy as np
 import pytest
 
 from barloom.llm import decontam, licenses, quality, simhash, spans, urls
@@ -208,3 +209,16 @@ def test_stages_with_empty_tables_and_clashing_names(spark):
     pages = spark.createDataFrame([(1, "http://a/b", "x")], "page_id long, url string, segs string")
     labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     assert urls.judge(pages.limit(0), labels).count() == 0 and [x["verdict"] for x in urls.judge(pages, labels).collect()] == ["allow"]
+
+
+def test_sketches_never_discard_similar_sets():
+    r, discarded = np.random.default_rng(1), 0
+    for _ in range(600):
+        n = int(r.choice([0, 1, 5, 60, 64, 65, 900, 3000]))
+        base = r.integers(0, 2**64, n, dtype=np.uint64)
+        a, b = np.unique(base), np.unique(np.concatenate([base[: int(n * r.uniform(0.5, 1))], r.integers(0, 2**64, int(n * r.uniform(0, 0.4)), dtype=np.uint64)]))
+        both = len(np.intersect1d(a, b))
+        allowed = simhash.sketches_allow(simhash.odd_sketch(a), simhash.odd_sketch(b), 0.8)
+        assert allowed or both < 0.8 * (len(a) + len(b) - both)
+        discarded += not allowed
+    assert discarded > 200
