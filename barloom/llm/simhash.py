@@ -20,7 +20,7 @@ pass, its shingles' hashes (eight bytes a word) in memory. Texts are known by a
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import combinations
 
 import numpy as np
@@ -222,14 +222,14 @@ def similar_groups(docs: DataFrame, words: int = 5, similarity: float = 0.8, id_
 def _hot_shingles(keyed: DataFrame, words: int) -> np.ndarray:
     """The sorted hashes of the most frequent shingles of about HOT_SAMPLE texts: bounded, whatever the input's size."""
     every = max(1, keyed.count() // HOT_SAMPLE)
-    sample = shingle_sets(keyed.where(F.pmod(F.xxhash64("key"), F.lit(every)) == 0), words).dropDuplicates(["key"])
+    sample = shingle_forms(keyed.where(F.pmod(F.xxhash64("key"), F.lit(every)) == 0), words, np.ndarray.tobytes).dropDuplicates(["key"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
             flat = b"".join(batch.column(0).to_pylist())
             yield pa.RecordBatch.from_arrays([pa.array(np.frombuffer(flat, np.int64))], ["h"])
 
-    counts = map_arrow(sample.select("shingles"), run, "h long").groupBy("h").count()
+    counts = map_arrow(sample.select("own"), run, "h long").groupBy("h").count()
     top = counts.where(F.col("count") >= HOT_COUNT).orderBy(F.desc("count"), "h").limit(HOT_MOST).collect()
     return np.sort(np.array([r["h"] for r in top], np.int64).view(np.uint64))
 
@@ -237,19 +237,13 @@ def _hot_shingles(keyed: DataFrame, words: int) -> np.ndarray:
 def _prefixes(keyed: DataFrame, words: int, similarity: float, hot: np.ndarray) -> DataFrame:
     """(key, n, prefix): the set's size and, as bytes, its first elements: others by hash, then hot ones by hash."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches):
-            sizes, out = [], []
-            for flat in batch.column(1).to_pylist():
-                own = np.frombuffer(flat, np.uint64)
-                last = hot.take(np.searchsorted(hot, own), mode="clip") == own if len(hot) else np.zeros(len(own), bool)
-                order = np.concatenate([own[~last], own[last]])
-                sizes.append(len(own))
-                # Without words: one list for all such texts, which are alike.
-                out.append(order[: len(own) - math.ceil(similarity * len(own) - 1e-9) + 1].tobytes() or bytes(8))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, pa.int32()), pa.array(out, pa.binary())], ["key", "n", "prefix"])
+    def prefix(own: np.ndarray) -> bytes:
+        last = hot.take(np.searchsorted(hot, own), mode="clip") == own if len(hot) else np.zeros(len(own), bool)
+        order = np.concatenate([own[~last], own[last]])
+        # Without words: one list for all such texts, which are alike.
+        return order[: len(own) - math.ceil(similarity * len(own) - 1e-9) + 1].tobytes() or bytes(8)
 
-    return map_arrow(shingle_sets(keyed, words), run, "key long, n int, prefix binary")
+    return shingle_forms(keyed, words, prefix).withColumnRenamed("own", "prefix")
 
 
 def _unfold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -305,19 +299,18 @@ def _unconnected(rooted: DataFrame, similarity: float) -> DataFrame:
 
 def _alike(pairs: DataFrame, keyed: DataFrame, words: int, similarity: float) -> DataFrame:
     """The pairs (a, b) of keys whose texts are similar enough: sketches discard most others before any set travels."""
-    near = _compared(pairs, keyed, words, _sketch, _sketches_allow(similarity))
+    near = _compared(pairs, keyed, words, odd_sketch, _sketches_allow(similarity))
     return _compared(near, keyed, words, _shorten, _jaccard(similarity))
 
 
-def _compared(pairs: DataFrame, keyed: DataFrame, words: int, form, check) -> DataFrame:
+def _compared(pairs: DataFrame, keyed: DataFrame, words: int, form: Callable[[np.ndarray], bytes], check: Callable) -> DataFrame:
     """The pairs (a, b) whose shingle sets, each put in a form of bytes, pass a check."""
     pairs = materialize(pairs)
     members = pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct()
     if pairs.count() <= BROADCAST_PAIRS:
         members = F.broadcast(members)  # the texts need no exchange
-    sets = shingle_sets(keyed.join(members, "key", "left_semi"), words).select("key", F.col("shingles").alias("own"))
     # The forms travel once, to their keys' partitions, where both joins find them.
-    sets = map_arrow(sets, form, "key long, own binary").dropDuplicates(["key"])
+    sets = shingle_forms(keyed.join(members, "key", "left_semi"), words, form).select("key", "own").dropDuplicates(["key"])
     checked = pairs.join(sets.select(F.col("key").alias("a"), F.col("own").alias("sa")), "a").join(sets.select(F.col("key").alias("b"), F.col("own").alias("sb")), "b")
     return map_arrow(checked.select("a", "b", "sa", "sb"), check, "a long, b long")
 
@@ -342,12 +335,6 @@ def sketches_allow(x: bytes, y: bytes, similarity: float) -> bool:
     return int(np.bitwise_count(u ^ v).sum()) <= (1 - similarity) / (1 + similarity) * n + 1e-6
 
 
-def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        own = [odd_sketch(np.frombuffer(x.as_buffer(), np.uint64)) for x in batch.column(1)]
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(own, pa.binary())], ["key", "own"])
-
-
 def _sketches_allow(similarity: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
@@ -358,11 +345,9 @@ def _sketches_allow(similarity: float):
     return run
 
 
-def _shorten(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _shorten(own: np.ndarray) -> bytes:
     """Of each 64-bit hash the upper five bytes: within one pair of texts they tell shingles apart as well."""
-    for batch in batches:
-        short = [np.frombuffer(x.as_buffer(), np.uint8).reshape(-1, 8)[:, 3:].tobytes() for x in batch.column(1)]
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(short, pa.binary())], ["key", "own"])
+    return own.view(np.uint8).reshape(-1, 8)[:, 3:].tobytes()
 
 
 def _lengthen(short: bytes) -> np.ndarray:
@@ -371,17 +356,21 @@ def _lengthen(short: bytes) -> np.ndarray:
     return out.view(np.uint64).ravel()
 
 
-def shingle_sets(keyed: DataFrame, words: int) -> DataFrame:
-    """(key, shingles): the sorted 64-bit hashes of a text's distinct shingles, as bytes."""
+def shingle_forms(keyed: DataFrame, words: int, form: Callable[[np.ndarray], bytes]) -> DataFrame:
+    """(key, n, own): the number of a text's distinct shingles and a form of their sorted 64-bit hashes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from xxhash import xxh64_intdigest as h
 
         for batch in slices(batches):
-            sets = [np.unique(shingle_hashes([h(w) for w in t.encode().lower().split()], words)).tobytes() for t in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.binary())], ["key", "shingles"])
+            sizes, out = [], []
+            for text in batch.column(1):  # one text at a time as a Python string
+                own = np.unique(shingle_hashes([h(w) for w in text.as_py().encode().lower().split()], words))
+                sizes.append(len(own))
+                out.append(form(own))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, pa.int32()), pa.array(out, pa.binary())], ["key", "n", "own"])
 
-    return map_arrow(keyed.select("key", text_of()), run, "key long, shingles binary")
+    return map_arrow(keyed.select("key", text_of()), run, "key long, n int, own binary")
 
 
 def _jaccard(similarity: float):
