@@ -202,7 +202,8 @@ def similar_groups(docs: DataFrame, words: int = 5, similarity: float = 0.8, id_
     is missed. Prefix filter: with every set in one common order, two such sets share an element among the first
     n - ceil(similarity * n) + 1 of each, n the set's size, so only texts listed under a common prefix element are
     compared. Any order is exact; hot shingles, found in a sample, come last, which keeps the lists short. In each list
-    all members are first compared with the least one; then every pair that these links left unconnected is compared.
+    all members are first compared with the least one, then those left unconnected with one drawn by hash, which differs
+    from list to list; last, every pair that these links left unconnected is compared.
     """
     keyed = docs.select(F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit(""))).alias("key"), "text")
     prefixes = _prefixes(keyed, words, similarity, _hot_shingles(keyed, words)).dropDuplicates(["key"])
@@ -212,11 +213,23 @@ def similar_groups(docs: DataFrame, words: int = 5, similarity: float = 0.8, id_
     rows = rows.select("*", F.min(F.struct("key", "n", "pos")).over(mine).alias("hub"), F.max("key").over(mine).alias("most"))
     rows = materialize(rows.where("hub.key < most").drop("most"))
     star = rows.where("key > hub.key").where(_may_reach(similarity, F.col("n"), F.col("pos"), F.col("hub.n"), F.col("hub.pos")))
-    first = materialize(_alike(star.select(F.col("hub.key").alias("a"), F.col("key").alias("b")).distinct(), keyed, words, similarity))
-    roots = components(first)
-    rooted = rows.join(roots, rows["key"] == roots["node"], "left").select("h", "key", F.coalesce("root", "key").alias("root"), "n", "pos")
-    rest = _unconnected(materialize(rooted), similarity)
-    return components(first.unionByName(_alike(rest, keyed, words, similarity)))
+    found = materialize(_alike(star.select(F.col("hub.key").alias("a"), F.col("key").alias("b")).distinct(), keyed, words, similarity))
+    rooted = materialize(_rooted(rows, found))
+    found = materialize(found.unionByName(_alike(_other_hubs(rooted, similarity), keyed, words, similarity)))
+    rooted = materialize(_rooted(rows, found))
+    return components(found.unionByName(_alike(_unconnected(rooted, similarity), keyed, words, similarity)))
+
+
+def _rooted(rows: DataFrame, found: DataFrame) -> DataFrame:
+    roots = components(found)
+    return rows.join(roots, rows["key"] == roots["node"], "left").select("h", "key", F.coalesce("root", "key").alias("root"), "n", "pos")
+
+
+def _other_hubs(rooted: DataFrame, similarity: float) -> DataFrame:
+    """(a, b): in each list a member drawn by hash against those of other roots, so a text meets another hub in each list."""
+    drawn = F.min(F.struct(F.xxhash64("h", "key").alias("by"), "key", "root", "n", "pos")).over(Window.partitionBy("h"))
+    met = rooted.withColumn("hub", drawn).where("root != hub.root").where(_may_reach(similarity, F.col("n"), F.col("pos"), F.col("hub.n"), F.col("hub.pos")))
+    return met.select(F.least("key", "hub.key").alias("a"), F.greatest("key", "hub.key").alias("b")).distinct()
 
 
 def _hot_shingles(keyed: DataFrame, words: int) -> np.ndarray:
