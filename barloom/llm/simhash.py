@@ -199,25 +199,36 @@ def similar_groups(docs: DataFrame, words: int = 5, similarity: float = 0.8, id_
     """(key, root): classes of equal texts (key: the text's hash) and the least key of their near-duplicate group.
 
     Two texts are linked if the Jaccard similarity of their sets of `words`-word shingles is at least `similarity`; none
-    is missed. Prefix filter: with every set in one common order, two such sets share an element among the first
+    is missed. First come the links of SimHash: fingerprints, tables of blocks and pivots as above, each pair verified.
+    Two bits leave out texts further apart, so an exact search for links between SimHash's groups follows.
+
+    Prefix filter: with every set in one common order, two such sets share an element among the first
     n - ceil(similarity * n) + 1 of each, n the set's size, so only texts listed under a common prefix element are
     compared. Any order is exact; hot shingles, found in a sample, come last, which keeps the lists short. In each list
-    all members are first compared with the least one, then those left unconnected with one drawn by hash, which differs
-    from list to list; last, every pair that these links left unconnected is compared.
+    all members of other groups are first compared with the least one, then those left unconnected with one drawn by
+    hash, which differs from list to list; last, every pair that these links left unconnected is compared.
     """
     keyed = docs.select(F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit(""))).alias("key"), "text")
+    found = materialize(_alike(fingerprint_pairs(keyed, words), keyed, words, similarity))
     prefixes = _prefixes(keyed, words, similarity, _hot_shingles(keyed, words)).dropDuplicates(["key"])
     rows = map_arrow(prefixes, _unfold, "h long, key long, n int, pos int")
-    # One exchange: the list's least member and whether it has others, beside each row.
     mine = Window.partitionBy("h")
-    rows = rows.select("*", F.min(F.struct("key", "n", "pos")).over(mine).alias("hub"), F.max("key").over(mine).alias("most"))
-    rows = materialize(rows.where("hub.key < most").drop("most"))
-    star = rows.where("key > hub.key").where(_may_reach(similarity, F.col("n"), F.col("pos"), F.col("hub.n"), F.col("hub.pos")))
-    found = materialize(_alike(star.select(F.col("hub.key").alias("a"), F.col("key").alias("b")).distinct(), keyed, words, similarity))
-    rooted = materialize(_rooted(rows, found))
-    found = materialize(found.unionByName(_alike(_other_hubs(rooted, similarity), keyed, words, similarity)))
-    rooted = materialize(_rooted(rows, found))
-    return components(found.unionByName(_alike(_unconnected(rooted, similarity), keyed, words, similarity)))
+    rows = materialize(rows.select("*", F.min("key").over(mine).alias("least"), F.max("key").over(mine).alias("most")).where("least < most").drop("least", "most"))
+    for by in (F.col("key"), F.xxhash64("h", "key")):
+        pairs = _hub_pairs(_rooted(rows, found), by, similarity)
+        found = materialize(found.unionByName(_alike(pairs, keyed, words, similarity)))
+    pairs = _unconnected(materialize(_rooted(rows, found)), similarity)
+    return components(found.unionByName(_alike(pairs, keyed, words, similarity)))
+
+
+def fingerprint_pairs(keyed: DataFrame, words: int) -> DataFrame:
+    """(a, b): pairs of texts by SimHash: the least key of a fingerprint with its others, and with that of each linked fingerprint."""
+    fps = materialize(fingerprints(keyed, words, "key").dropDuplicates(["key"]))
+    classes = fps.groupBy("fp").agg(F.min("key").alias("first"))
+    same = fps.join(classes, "fp").where("first < key").select(F.col("first").alias("a"), F.col("key").alias("b"))
+    near = links(classes.select(F.lit(0).alias("space"), "fp")).select(F.col("a").alias("fa"), F.col("b").alias("fb"))
+    near = near.join(classes.select(F.col("fp").alias("fa"), F.col("first").alias("x")), "fa").join(classes.select(F.col("fp").alias("fb"), F.col("first").alias("y")), "fb")
+    return same.unionByName(near.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")))
 
 
 def _rooted(rows: DataFrame, found: DataFrame) -> DataFrame:
@@ -225,10 +236,10 @@ def _rooted(rows: DataFrame, found: DataFrame) -> DataFrame:
     return rows.join(roots, rows["key"] == roots["node"], "left").select("h", "key", F.coalesce("root", "key").alias("root"), "n", "pos")
 
 
-def _other_hubs(rooted: DataFrame, similarity: float) -> DataFrame:
-    """(a, b): in each list a member drawn by hash against those of other roots, so a text meets another hub in each list."""
-    drawn = F.min(F.struct(F.xxhash64("h", "key").alias("by"), "key", "root", "n", "pos")).over(Window.partitionBy("h"))
-    met = rooted.withColumn("hub", drawn).where("root != hub.root").where(_may_reach(similarity, F.col("n"), F.col("pos"), F.col("hub.n"), F.col("hub.pos")))
+def _hub_pairs(rooted: DataFrame, by: Column, similarity: float) -> DataFrame:
+    """(a, b): in each list the member that is first `by` something against those of other roots."""
+    first = F.min(F.struct(by.alias("by"), "key", "root", "n", "pos")).over(Window.partitionBy("h"))
+    met = rooted.withColumn("hub", first).where("root != hub.root").where(_may_reach(similarity, F.col("n"), F.col("pos"), F.col("hub.n"), F.col("hub.pos")))
     return met.select(F.least("key", "hub.key").alias("a"), F.greatest("key", "hub.key").alias("b")).distinct()
 
 

@@ -222,3 +222,21 @@ def test_sketches_never_discard_similar_sets():
         assert allowed or both < 0.8 * (len(a) + len(b) - both)
         discarded += not allowed
     assert discarded > 200
+
+
+def test_near_dedup_links_by_simhash_first(spark, monkeypatch):
+    r, texts = random.Random(8), []
+    for k in range(40):
+        words = [w for _ in range(10 + 2 * k) for w in sentence(r, 10).split(" ")]
+        texts.append(" ".join(words))
+        words[r.randrange(len(words))] = "edited"
+        texts.append(" ".join(words))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    fps = {x["doc_id"]: x["fp"] for x in simhash.fingerprints(docs, 5).collect()}
+    near = {i for i in range(0, 80, 2) if ((fps[i] ^ fps[i + 1]) & (2**64 - 1)).bit_count() <= 2}
+    assert 5 < len(near) < 40
+    # The exact search finds nothing here, so that what SimHash links is seen by itself.
+    none = spark.createDataFrame([], "a long, b long")
+    monkeypatch.setattr(simhash, "_hub_pairs", lambda *a: none)
+    monkeypatch.setattr(simhash, "_unconnected", lambda *a: none)
+    assert {x["doc_id"] for x in simhash.drop_near_duplicates(docs).collect()} == {*range(80)} - {i + 1 for i in near}
