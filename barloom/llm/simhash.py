@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import map_arrow, materialize, slices, text_of
+from .common import map_arrow, materialize, release, slices, text_of
 
 BLOCKS = 4
 RADIUS = 2
@@ -40,6 +40,8 @@ HOT_COUNT = 4
 HOT_MOST = 100_000
 #: Members of one list that are compared in one piece; bounds memory only.
 LIST_CAP = 512
+#: Bits of the sketch that each of them brings, for sets of any size: those of long texts discard less, never wrongly.
+LIST_BITS = 512
 #: Most pairs whose keys are broadcast to pick their texts.
 BROADCAST_PAIRS = 200_000
 _ODD = np.uint64(0x9E3779B97F4A7C15)
@@ -214,10 +216,12 @@ def similar_groups(docs: DataFrame, words: int = 5, similarity: float = 0.8, id_
     rows = map_arrow(prefixes, _unfold, "h long, key long, n int, pos int")
     mine = Window.partitionBy("h")
     rows = materialize(rows.select("*", F.min("key").over(mine).alias("least"), F.max("key").over(mine).alias("most")).where("least < most").drop("least", "most"))
+    release(docs.sparkSession)
     for by in (F.col("key"), F.xxhash64("h", "key")):
         pairs = _hub_pairs(_rooted(rows, found), by, similarity)
         found = materialize(found.unionByName(_alike(pairs, keyed, words, similarity)))
-    pairs = _unconnected(materialize(_rooted(rows, found)), similarity)
+        release(docs.sparkSession)
+    pairs = _unconnected(materialize(_rooted(rows, found)), keyed, words, similarity)
     return components(found.unionByName(_alike(pairs, keyed, words, similarity)))
 
 
@@ -285,24 +289,31 @@ def _may_reach(similarity: float, n: Column, pos: Column, m: Column, at: Column)
     return F.least(n - pos, m - at) >= similarity / (1 + similarity) * (n + m) - 1e-6
 
 
-def _unconnected(rooted: DataFrame, similarity: float) -> DataFrame:
+def _unconnected(rooted: DataFrame, keyed: DataFrame, words: int, similarity: float) -> DataFrame:
     """(a, b): every pair of a common list that may be similar enough and has different roots.
 
-    Lists over LIST_CAP are dealt into blocks and compared block with block, so that no task holds more at a time.
+    Each member brings an odd sketch of LIST_BITS bits, so that most pairs are discarded where they meet and never
+    become rows. Lists over LIST_CAP are dealt into blocks and compared block with block, so that no task holds more at
+    a time.
     """
     sizes = rooted.groupBy("h").agg(F.count("*").alias("c"), F.min("root").alias("least"), F.max("root").alias("most")).where("least < most").select("h", "c")
-    listed = rooted.join(sizes, "h")
+    listed = materialize(rooted.join(sizes, "h"))
+    release(keyed.sparkSession)
+    sketches = _forms(listed.select("key").distinct(), listed.count() <= BROADCAST_PAIRS, keyed, words, lambda own: odd_bits(own, LIST_BITS))
+    listed = listed.join(sketches, "key")
     blocks = F.ceil(F.col("c") / (LIST_CAP // 2)).cast("int")
     long = listed.where(F.col("c") > LIST_CAP).withColumn("x", F.pmod(F.xxhash64("key"), blocks).cast("int")).select("*", F.explode(F.sequence(F.lit(0), blocks - 1)).alias("y"))
     side = F.when(F.col("x") == F.col("y"), 0).when(F.col("x") < F.col("y"), 1).otherwise(2)
-    short = listed.where(F.col("c") <= LIST_CAP).select("h", F.lit(0).alias("p"), F.lit(0).alias("q"), F.lit(0).alias("side"), "key", "root", "n", "pos")
-    long = long.select("h", F.least("x", "y").alias("p"), F.greatest("x", "y").alias("q"), side.alias("side"), "key", "root", "n", "pos")
-    lists = short.unionByName(long).groupBy("h", "p", "q").agg(F.array_sort(F.collect_list(F.struct("n", "key", "root", "pos", "side"))).alias("l")).where("size(l) > 1")
+    short = listed.where(F.col("c") <= LIST_CAP).select("h", F.lit(0).alias("p"), F.lit(0).alias("q"), F.lit(0).alias("side"), "key", "root", "n", "pos", "own")
+    long = long.select("h", F.least("x", "y").alias("p"), F.greatest("x", "y").alias("q"), side.alias("side"), "key", "root", "n", "pos", "own")
+    lists = short.unionByName(long).groupBy("h", "p", "q").agg(F.array_sort(F.collect_list(F.struct("n", "key", "root", "pos", "side", "own"))).alias("l")).where("size(l) > 1")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches):
+        for batch in slices(batches, 64):
             lists = batch.column(0)
-            n, key, root, pos, side = [c.to_numpy() for c in lists.flatten().flatten()]
+            *numbers, sketch = lists.flatten().flatten()
+            n, key, root, pos, side = [c.to_numpy() for c in numbers]
+            sketch = np.frombuffer(b"".join(sketch.to_pylist()), np.uint64).reshape(-1, LIST_BITS // 64)
             own = np.repeat(np.arange(len(lists)), np.diff(lists.offsets.to_numpy()))
             i, step = np.arange(len(own)), 0
             while len(i):
@@ -314,8 +325,10 @@ def _unconnected(rooted: DataFrame, similarity: float) -> DataFrame:
                 j = i + step
                 good = (root[i] != root[j]) & ((side[i] == 0) | (side[i] != side[j]))
                 good &= np.minimum(n[i] - pos[i], n[j] - pos[j]) >= similarity / (1 + similarity) * (n[i] + n[j]) - 1e-6
-                if good.any():
-                    x, y = key[i[good]], key[j[good]]
+                x, y = i[good], j[good]
+                near = np.bitwise_count(sketch[x] ^ sketch[y]).sum(axis=1, dtype=np.int64) <= (1 - similarity) / (1 + similarity) * (n[x] + n[y]) + 1e-6
+                if near.any():
+                    x, y = key[x[near]], key[y[near]]
                     yield pa.RecordBatch.from_arrays([pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y))], ["a", "b"])
 
     return map_arrow(lists.select("l"), run, "a long, b long").distinct()
@@ -331,23 +344,32 @@ def _compared(pairs: DataFrame, keyed: DataFrame, words: int, form: Callable[[np
     """The pairs (a, b) whose shingle sets, each put in a form of bytes, pass a check."""
     pairs = materialize(pairs)
     members = pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct()
-    if pairs.count() <= BROADCAST_PAIRS:
-        members = F.broadcast(members)  # the texts need no exchange
     # The forms travel once, to their keys' partitions, where both joins find them.
-    sets = shingle_forms(keyed.join(members, "key", "left_semi"), words, form).select("key", "own").dropDuplicates(["key"])
+    sets = _forms(members, pairs.count() <= BROADCAST_PAIRS, keyed, words, form)
     checked = pairs.join(sets.select(F.col("key").alias("a"), F.col("own").alias("sa")), "a").join(sets.select(F.col("key").alias("b"), F.col("own").alias("sb")), "b")
     return map_arrow(checked.select("a", "b", "sa", "sb"), check, "a long, b long")
 
 
+def _forms(members: DataFrame, few: bool, keyed: DataFrame, words: int, form: Callable[[np.ndarray], bytes]) -> DataFrame:
+    """(key, own): a form of each member's shingle set; those of few members need no exchange of the texts."""
+    members = F.broadcast(members) if few else members
+    return shingle_forms(keyed.join(members, "key", "left_semi"), words, form).select("key", "own").dropDuplicates(["key"])
+
+
+def odd_bits(own: np.ndarray, size: int) -> bytes:
+    """For each value of the hashes' low bits, below the size (a power of two), whether an odd number of elements has it."""
+    odd = np.bincount((own & np.uint64(size - 1)).astype(np.int64), minlength=size) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
+
+
 def odd_sketch(own: np.ndarray) -> bytes:
-    """The set's size and, for each value of the hashes' low bits, whether an odd number of elements has it.
+    """The set's size and its odd bits.
 
     The table has a bit an element, rounded up to a power of two. An element in only one of two sets changes one bit, so
     the bits in which two tables differ are never more than such elements. A table folds to half its size by exclusive or.
     """
     size = max(64, 1 << (len(own) - 1).bit_length()) if len(own) else 64
-    odd = np.bincount((own & np.uint64(size - 1)).astype(np.int64), minlength=size) & 1
-    return len(own).to_bytes(8, "little") + np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
+    return len(own).to_bytes(8, "little") + odd_bits(own, size)
 
 
 def sketches_allow(x: bytes, y: bytes, similarity: float) -> bool:

@@ -9,6 +9,8 @@ import pytest
 
 from barloom.llm import decontam, licenses, quality, simhash, spans, urls
 
+from .test_operators import brute_groups
+
 R = random.Random(7)
 WORDS = ["".join(R.choices(["ka", "lo", "mi", "ren", "tas", "vo"], k=R.randint(1, 4))) for _ in range(400)]
 
@@ -240,3 +242,20 @@ def test_near_dedup_links_by_simhash_first(spark, monkeypatch):
     monkeypatch.setattr(simhash, "_hub_pairs", lambda *a: none)
     monkeypatch.setattr(simhash, "_unconnected", lambda *a: none)
     assert {x["doc_id"] for x in simhash.drop_near_duplicates(docs).collect()} == {*range(80)} - {i + 1 for i in near}
+
+
+def test_pairs_of_a_large_group_are_discarded_inside_its_lists(spark, monkeypatch):
+    r = random.Random(4)
+    base = [w for _ in range(20) for w in sentence(r, 10).split(" ")]
+    cuts = r.sample(range(5, 195), 30)
+    texts = [" ".join(w for k, w in enumerate(base) if k not in gone) for gone in [set(r.sample(cuts, 8)) for _ in range(120)]]
+    seen, alike = [], simhash._alike
+
+    def counted(pairs, *rest):
+        seen.append({(x["a"], x["b"]) for x in pairs.collect()})
+        return alike(pairs, *rest)
+
+    monkeypatch.setattr(simhash, "_alike", counted)
+    kept = simhash.drop_near_duplicates(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"))
+    assert sorted(x["doc_id"] for x in kept.collect()) == brute_groups(texts)
+    assert sum(map(len, seen)) < 120 * 119 / 2 / 10
