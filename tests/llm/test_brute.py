@@ -248,7 +248,7 @@ def test_pairs_of_a_large_group_are_discarded_inside_its_lists(spark, monkeypatc
     r = random.Random(4)
     base = [w for _ in range(20) for w in sentence(r, 10).split(" ")]
     cuts = r.sample(range(5, 195), 30)
-    texts = [" ".join(w for k, w in enumerate(base) if k not in gone) for gone in [set(r.sample(cuts, 8)) for _ in range(120)]]
+    texts = [" ".join(w for k, w in enumerate(base) if k not in gone) for gone in [set(r.sample(cuts, 9)) for _ in range(120)]]
     seen, alike = [], simhash._alike
 
     def counted(pairs, *rest):
@@ -256,6 +256,10 @@ def test_pairs_of_a_large_group_are_discarded_inside_its_lists(spark, monkeypatc
         return alike(pairs, *rest)
 
     monkeypatch.setattr(simhash, "_alike", counted)
-    kept = simhash.drop_near_duplicates(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"))
-    assert sorted(x["doc_id"] for x in kept.collect()) == brute_groups(texts)
-    assert sum(map(len, seen)) < 120 * 119 / 2 / 10
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for bits in (64, 512):  # 64 bits discard none of sets this large
+        monkeypatch.setattr(simhash, "LIST_BITS", bits)
+        kept = simhash.drop_near_duplicates(docs)
+        assert sorted(x["doc_id"] for x in kept.collect()) == brute_groups(texts)
+    every, few = len(seen[3]), len(seen[7])
+    assert every > 1000 and few < every / 4, (every, few)
