@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.lineage_cut import materialize, release  # noqa: F401
+from ..functions.lineage_cut import freeing_shuffles, materialize, release  # noqa: F401
 
 #: Rows of one Arrow batch sent to a Python worker, and rows handled at a time inside it. Both bound memory only.
 ARROW_ROWS = 512

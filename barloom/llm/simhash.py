@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import map_arrow, materialize, release, slices, text_of
+from .common import freeing_shuffles, map_arrow, materialize, release, slices, text_of
 
 BLOCKS = 4
 RADIUS = 2
@@ -179,7 +179,8 @@ def components(edges: DataFrame) -> DataFrame:
         least = large.groupBy(F.col("b").alias("n")).agg(F.min("a").alias("m"))
         small = large.join(least, large["b"] == least["n"]).select(F.col("m").alias("p"), F.explode(F.array("a", "b")).alias("q")).where("p < q")
         edges = materialize(small.select(F.col("p").alias("a"), F.col("q").alias("b")).distinct())
-        now = edges.agg(F.count("*"), F.coalesce(F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")), F.lit(0))).first()
+        with freeing_shuffles(edges.sparkSession):
+            now = edges.agg(F.count("*"), F.coalesce(F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")), F.lit(0))).first()
         if now == before:
             return edges.select(F.col("b").alias("node"), F.col("a").alias("root")).union(edges.select("a", "a").distinct())
         before = now
@@ -221,7 +222,12 @@ def similar_groups(docs: DataFrame, words: int = 5, similarity: float = 0.8, id_
         pairs = _hub_pairs(_rooted(rows, found), by, similarity)
         found = materialize(found.unionByName(_alike(pairs, keyed, words, similarity)))
         release(docs.sparkSession)
-    pairs = _unconnected(materialize(_rooted(rows, found)), keyed, words, similarity)
+    listed = materialize(_unsettled(_rooted(rows, found)))
+    del rows
+    release(docs.sparkSession)
+    pairs = materialize(_unconnected(listed, keyed, words, similarity))
+    del listed
+    release(docs.sparkSession)
     return components(found.unionByName(_alike(pairs, keyed, words, similarity)))
 
 
@@ -258,7 +264,8 @@ def _hot_shingles(keyed: DataFrame, words: int) -> np.ndarray:
             yield pa.RecordBatch.from_arrays([pa.array(np.frombuffer(flat, np.int64))], ["h"])
 
     counts = map_arrow(sample.select("own"), run, "h long").groupBy("h").count()
-    top = counts.where(F.col("count") >= HOT_COUNT).orderBy(F.desc("count"), "h").limit(HOT_MOST).collect()
+    with freeing_shuffles(keyed.sparkSession):
+        top = counts.where(F.col("count") >= HOT_COUNT).orderBy(F.desc("count"), "h").limit(HOT_MOST).collect()
     return np.sort(np.array([r["h"] for r in top], np.int64).view(np.uint64))
 
 
@@ -289,16 +296,20 @@ def _may_reach(similarity: float, n: Column, pos: Column, m: Column, at: Column)
     return F.least(n - pos, m - at) >= similarity / (1 + similarity) * (n + m) - 1e-6
 
 
-def _unconnected(rooted: DataFrame, keyed: DataFrame, words: int, similarity: float) -> DataFrame:
+def _unsettled(rooted: DataFrame) -> DataFrame:
+    """Lists that hold different roots, with their lengths c."""
+    mine = Window.partitionBy("h")
+    counted = rooted.select("*", F.count("*").over(mine).alias("c"), F.min("root").over(mine).alias("least"), F.max("root").over(mine).alias("most"))
+    return counted.where("least < most").drop("least", "most")
+
+
+def _unconnected(listed: DataFrame, keyed: DataFrame, words: int, similarity: float) -> DataFrame:
     """(a, b): every pair of a common list that may be similar enough and has different roots.
 
     Each member brings an odd sketch of LIST_BITS bits, so that most pairs are discarded where they meet and never
     become rows. Lists over LIST_CAP are dealt into blocks and compared block with block, so that no task holds more at
     a time.
     """
-    sizes = rooted.groupBy("h").agg(F.count("*").alias("c"), F.min("root").alias("least"), F.max("root").alias("most")).where("least < most").select("h", "c")
-    listed = materialize(rooted.join(sizes, "h"))
-    release(keyed.sparkSession)
     sketches = _forms(listed.select("key").distinct(), listed.count() <= BROADCAST_PAIRS, keyed, words, lambda own: odd_bits(own, LIST_BITS))
     listed = listed.join(sketches, "key")
     blocks = F.ceil(F.col("c") / (LIST_CAP // 2)).cast("int")

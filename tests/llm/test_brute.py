@@ -2,6 +2,8 @@
 
 import random
 import re
+import time
+from pathlib import Path
 
 import duckdb
 import numpy as np
@@ -263,3 +265,19 @@ def test_pairs_of_a_large_group_are_discarded_inside_its_lists(spark, monkeypatc
         assert sorted(x["doc_id"] for x in kept.collect()) == brute_groups(texts)
     every, few = len(seen[3]), len(seen[7])
     assert every > 1000 and few < every / 4, (every, few)
+
+
+def test_finished_steps_leave_no_shuffle_files(spark):
+    def files():
+        dirs = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()
+        return {p.name for d in dirs for p in Path(d.getPath()).rglob("shuffle_*.data")}
+
+    before = files()
+    pairs = spark.range(200).where("id % 100 < 80").selectExpr("id AS a", "id + 10 AS b")
+    roots = simhash.components(pairs)
+    end = time.time() + 10
+    while files() - before and time.time() < end:  # executors delete them on their own time
+        time.sleep(0.2)
+    assert not files() - before
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "false"
+    assert {x["node"]: x["root"] for x in roots.collect()} == {i: i // 100 * 100 + i % 10 for i in range(200) if i % 100 < 90}
